@@ -24,7 +24,7 @@ from quotegrid.plans import calibration as cal
 from quotegrid.plans import publication as pub
 from quotegrid.plans import selection as sel
 from quotegrid.plans.daily import daily_run
-from quotegrid.plans.frame import training_frame
+from quotegrid.plans.frame import model_frame, training_frame
 from quotegrid.schema import METRIC_GROUPS, METRICS, NUMERIC_FEATURES
 from quotegrid.session import stage, working_path
 from quotegrid.sources import feed, star
@@ -46,8 +46,11 @@ def query(fn: Query) -> Query:
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 9) -> DataFrame:
-    """Averages and the like to nine digits, so that the order of a sum does not show."""
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    """Averages and the like to nine digits, so that the order of a sum does not show.
+
+    The small shift moves exact ties (means over a multiple of 64 rows) off the rounding edge.
+    """
+    return df.withColumns({c: F.round(F.col(c) + 1e-12, digits) for c in columns})
 
 
 def now():
@@ -76,7 +79,7 @@ def filled(spark, d) -> DataFrame:
 
 def model_rows(spark, d, scope=()) -> DataFrame:
     p, s = base(spark, d)
-    return cal.model_rows(training_frame(p, s, FUEL, H, scope=scope), scope)
+    return model_frame(p, s, FUEL, max(H), scope=scope)
 
 
 def staged_rows(spark, d, scope=()) -> DataFrame:
@@ -347,7 +350,7 @@ for _name in REGIME_COLUMNS:
 
 @query
 def future_min_targets(spark, d):
-    out = dense(spark, d).withColumn("future_min", ts.future_minimums("price", max(H)))
+    out = dense(spark, d).withColumn("ahead", ts.future_prices("price", max(H)))
     columns = ts.target_columns(H)
     return out.withColumns(columns).withColumns(
         {f"target_available_{h}d": F.col(f"target_min_{h}d").isNotNull().cast("int") for h in H}
@@ -423,18 +426,22 @@ def fit_backtest(spark, d):
     return rounded(out, *_MEASURES, *_POLICY)
 
 
+def _last_day(spark, d) -> DataFrame:
+    return star.prices(spark, d).agg(F.max("date").alias("date"))
+
+
 @query
 def predict_latest(spark, d):
     rows = staged_rows(spark, d)
     models = cal.fit_and_test(fc.horizon_rows(rows, [3]), ["horizon_days"])[0]
-    return rounded(cal.predict_latest(rows, models, 3, 0.001), "pred_q20", "pred_q50", "pred_q80")
+    return rounded(cal.predict_latest(rows, models, _last_day(spark, d), 3, 0.001), "pred_q20", "pred_q50", "pred_q80")
 
 
 @query
 def latest_gains(spark, d):
     rows = staged_rows(spark, d)
     models = cal.fit_and_test(fc.horizon_rows(rows, [14]), ["horizon_days"])[0]
-    out = with_gains(cal.predict_latest(rows, models, 14, 0.001)).select(
+    out = with_gains(cal.predict_latest(rows, models, _last_day(spark, d), 14, 0.001)).select(
         "station_id", "decision", "expected_gain_q50", "probable_gain_q80"
     )
     return rounded(out, "expected_gain_q50", "probable_gain_q80")
@@ -444,7 +451,7 @@ def latest_gains(spark, d):
 def latest_by_waiting_cost(spark, d):
     rows = staged_rows(spark, d)
     models = cal.fit_and_test(fc.horizon_rows(rows, H), ["horizon_days"])[0]
-    return cal.latest_by_cost(rows, models, H, COSTS).select(
+    return cal.latest_by_cost(rows, models, _last_day(spark, d), H, COSTS).select(
         "station_id", "horizon_days", "waiting_cost", "price", "regime", "decision",
         "realized_wait_gain", "policy_realized_saving", "oracle_best_action",
     )
@@ -525,7 +532,7 @@ def calibration_table_by_scope(spark, d):
 @query
 def calibration_failures(spark, d):
     """A cutoff near the end of the data leaves some horizons without test rows."""
-    return cal.calibration_failures(staged_rows(spark, d), H, train_end="2001-11-01").select(
+    return cal.calibration_failures(staged_rows(spark, d), H, train_end="2001-11-03").select(
         "horizon_days", "rows_train", "rows_test", "error"
     )
 
@@ -1033,11 +1040,11 @@ def model_save_load(spark, d):
 
 @query
 def stream_ingest(spark, d):
-    """Documents landed as files by day, taken in as a stream, read back as the current price table."""
+    """Documents landed as bundles, taken in as a stream in several batches, read back as the current
+    price table."""
     from quotegrid.streaming.ingest import current_table, ingest
 
     landing, store = working_path(spark, "landing"), working_path(spark, "store")
-    documents = feed_documents(spark, d).select("date", "value")
-    documents.repartition("date").write.partitionBy("date").text(landing)
-    ingest(spark, landing, store, whole_files=False)
+    feed_documents(spark, d).select(F.col("date").cast("string").alias("date"), "value").repartition(8, "date").write.json(landing)
+    ingest(spark, landing, store, files_per_batch=4, layout="bundles")
     return current_table(spark, store, "prices").drop("fetched_at")

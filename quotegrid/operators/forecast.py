@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quotegrid.operators.histogram import quantiles as value_quantiles
 from quotegrid.operators.histogram import running_counts
+from quotegrid.operators.timeseries import lowest_ahead
 from quotegrid.schema import DEFAULT_REGIME, GLOBAL_MODEL, MIN_ROWS_PER_REGIME, QUANTILES, REGIMES, quantile_column
 
 
@@ -29,18 +30,21 @@ def grid_side(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def horizon_rows(frame: DataFrame, horizons: Sequence[int], keys: Sequence[str] = ()) -> DataFrame:
-    """Observed rows with a price, once per horizon: ``future_min`` and the horizon's ``target``."""
+    """Observed rows, once per horizon: the prices ``ahead`` and the horizon's ``target``.
+
+    Observed means that any metric has a value, so the price itself may be missing.
+    """
     return (
-        frame.where((F.col("is_observed_price") == 1) & F.col("price").isNotNull())
-        .select(*keys, "date", "station_id", "price", "regime", "future_min",
+        frame.where(F.col("is_observed_price") == 1)
+        .select(*keys, "date", "station_id", "price", "regime", "ahead",
                 F.explode(F.array(*[F.lit(int(h)) for h in horizons])).alias("horizon_days"))
-        .withColumn("target", F.get("future_min", F.col("horizon_days") - 1))
+        .withColumn("target", lowest_ahead(F.col("horizon_days")))
     )
 
 
 def eligible(rows: DataFrame) -> DataFrame:
-    """Rows a model may learn from or be tested on: the target is known."""
-    return rows.where(F.col("target").isNotNull())
+    """Rows a model may learn from or be tested on: price and target are known."""
+    return rows.where(F.col("price").isNotNull() & F.col("target").isNotNull())
 
 
 def difference_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -48,20 +48,24 @@ def with_price_position(df: DataFrame, column: str = "price_ffill", keys: Sequen
     )
 
 
-def future_minimums(price: str, furthest: int, keys: Sequence[str] = STATION) -> Column:
-    """Array of ``furthest`` values: entry k is the lowest price of the next k rows.
+def future_prices(price: str, furthest: int, keys: Sequence[str] = STATION) -> Column:
+    """Array of the prices of the next ``furthest`` rows.
 
     One array serves every horizon, and also a horizon cut short at the end of a test window.
     """
     w = series(keys)
-    ahead = [F.lead(price, k).over(w) for k in range(1, furthest + 1)]
-    return F.array(*[F.least(*ahead[:k]) if k > 1 else ahead[0] for k in range(1, furthest + 1)])
+    return F.array(*[F.lead(price, k).over(w) for k in range(1, furthest + 1)])
 
 
-def target_columns(horizons: Sequence[int], price: str = "price", array: str = "future_min") -> dict[str, Column]:
+def lowest_ahead(days: Column | int, ahead: str = "ahead") -> Column:
+    """Lowest price of the next ``days`` rows (at least one); NULL where none of them has a price."""
+    return F.array_min(F.slice(ahead, 1, days))
+
+
+def target_columns(horizons: Sequence[int], price: str = "price", ahead: str = "ahead") -> dict[str, Column]:
     out = {}
     for h in horizons:
-        target = F.get(F.col(array), F.lit(h - 1))
+        target = lowest_ahead(h, ahead)
         out[f"target_min_{h}d"] = target
         out[f"target_saving_{h}d"] = F.col(price) - target
     return out

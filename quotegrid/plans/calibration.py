@@ -9,19 +9,13 @@ from pyspark.sql import DataFrame, functions as F
 from quotegrid.operators import forecast as fc
 from quotegrid.operators.metrics import metric_aggregates
 from quotegrid.operators.policy import policy_aggregates, with_policy, with_waiting_costs
+from quotegrid.operators.timeseries import lowest_ahead
 from quotegrid.schema import MIN_ROWS_PER_REGIME
 
 HORIZONS = (3, 5, 7, 10, 14)  # fixed values: the search grid
 WAITING_COSTS = (0.001, 0.002, 0.003, 0.005, 0.008)
 
 
-def model_rows(frame: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """The columns of a training frame that fitting and testing need; worth staging when both run."""
-    return frame.where((F.col("is_observed_price") == 1) & F.col("price").isNotNull()).select(
-        *scope, "date", "station_id", "price", "is_observed_price", "regime", "future_min"
-    )
-
-
 def fit_and_test(
     rows: DataFrame, keys: Sequence[str], train_end=None, min_rows: int = MIN_ROWS_PER_REGIME
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -90,31 +84,23 @@ def calibration_failures(
     return counted.withColumn("error", error).where(F.col("error").isNotNull())
 
 
-def latest_rows(frame: DataFrame) -> DataFrame:
-    """Observed rows of the last day of the frame."""
-    last = frame.agg(F.max("date").alias("d")).scalar()
-    return frame.where((F.col("date") == last) & (F.col("is_observed_price") == 1))
+def latest_rows(frame: DataFrame, last_day: DataFrame) -> DataFrame:
+    """Observed rows of the last day of the panel (one row, column ``date``).
+
+    The day comes from the price table: on the last day no station need be observed, and then there
+    is no recommendation.
+    """
+    return frame.where((F.col("date") == last_day.select("date").scalar()) & (F.col("is_observed_price") == 1))
 
 
 def predict_latest(
-    frame: DataFrame,
-    models: DataFrame,
-    horizon: int,
-    cost: float,
-    scope: Sequence[str] = (),
-    last_day: DataFrame | None = None,
+    frame: DataFrame, models: DataFrame, last_day: DataFrame, horizon: int, cost: float, scope: Sequence[str] = ()
 ) -> DataFrame:
-    """Recommendations of the last day, in the order decision, price, station.
-
-    ``last_day`` (one row, column ``date``) spares the search for it in the frame.
-    """
-    latest = latest_rows(frame) if last_day is None else frame.where(
-        (F.col("date") == last_day.select("date").scalar()) & (F.col("is_observed_price") == 1)
-    )
+    """Recommendations of the last day, in the order decision, price, station."""
     target = f"target_min_{horizon}d"
-    rows = latest.select(
+    rows = latest_rows(frame, last_day).select(
         *scope, "date", "station_id", "price", "regime",
-        F.get("future_min", F.lit(horizon - 1)).alias(target), F.lit(int(horizon)).alias("horizon_days"),
+        lowest_ahead(horizon).alias(target), F.lit(int(horizon)).alias("horizon_days"),
     )
     predicted = fc.predict(rows, models, [*scope, "horizon_days"]).drop("horizon_days", "rows_train")
     return with_policy(predicted, target, cost).select(
@@ -124,9 +110,12 @@ def predict_latest(
 
 
 def latest_by_cost(
-    frame: DataFrame, models: DataFrame, horizons: Sequence[int], costs: Sequence[float], scope: Sequence[str] = ()
+    frame: DataFrame, models: DataFrame, last_day: DataFrame, horizons: Sequence[int], costs: Sequence[float],
+    scope: Sequence[str] = (),
 ) -> DataFrame:
     """Recommendations of the last day for every horizon and waiting cost; the future is unknown."""
-    rows = fc.horizon_rows(latest_rows(frame), horizons, scope).withColumn("target", F.lit(None).cast("double"))
-    predicted = fc.predict(rows, models, [*scope, "horizon_days"]).drop("future_min", "rows_train")
+    rows = fc.horizon_rows(latest_rows(frame, last_day), horizons, scope).withColumn(
+        "target", F.lit(None).cast("double")
+    )
+    predicted = fc.predict(rows, models, [*scope, "horizon_days"]).drop("ahead", "rows_train")
     return with_policy(with_waiting_costs(predicted, costs), "target", F.col("waiting_cost"))

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from quotegrid.operators import forecast as fc
 from quotegrid.operators.policy import with_policy
+from quotegrid.operators.timeseries import lowest_ahead
 from quotegrid.plans.calibration import fit_and_test
-from quotegrid.plans.frame import training_frame
+from quotegrid.plans.frame import model_frame
 from quotegrid.plans.publication import payloads, publish_summary
 
 
@@ -42,15 +43,12 @@ def daily_run(
     keys = ["scope_id", "horizon_days"]
     active = production.where(F.col("fuel_col") == metric)
     horizons = [r[0] for r in active.select("horizon_days").distinct().collect()]  # the grid: a few values
-    frame = training_frame(prices, stations, metric, horizons, fetch_log, scope=["scope_id"])
-    frame = frame.where("is_observed_price = 1 and price is not null").select(
-        "scope_id", "date", "station_id", "price", "regime", "future_min"
-    )
+    frame = model_frame(prices, stations, metric, max(horizons), fetch_log, scope=["scope_id"]).drop("is_observed_price")
     if stage is not None:
         frame = stage(frame, "daily-frame")
     rows = frame.join(active.select("scope_id", "horizon_days", "waiting_cost"), "scope_id").withColumn(
-        "target", F.get("future_min", F.col("horizon_days") - 1)
-    ).drop("future_min")
+        "target", lowest_ahead(F.col("horizon_days"))
+    ).drop("ahead")
     models, _, _ = fit_and_test(rows, keys)
 
     # The last quoted day of each scope, from one row per station.

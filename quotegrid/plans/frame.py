@@ -52,7 +52,7 @@ def features(
     frame = with_regimes(placed, "price_ffill", rules)
     frame = frame.withColumns({
         "days_since_observed": ts.observed_count(),
-        "future_min": ts.future_minimums("price", max(horizons)),
+        "ahead": ts.future_prices("price", max(horizons)),
         **ts.lag_columns(),
         **ts.rolling_columns(),
     })
@@ -65,6 +65,40 @@ def features(
     })
 
 
+def _sparse(prices: DataFrame, metric: str) -> DataFrame:
+    """One metric of the price table with the panel's observed flag (any metric has a value)."""
+    return prices.withColumn("is_observed_price", observed_flag(METRICS)).select(
+        "date", "station_id", to_number(metric).alias(metric), "is_observed_price"
+    )
+
+
+def model_frame(
+    prices: DataFrame,
+    stations: DataFrame,
+    metric: str,
+    furthest: int,
+    fetch_log: DataFrame | None = None,
+    start=None,
+    end=None,
+    scope: Sequence[str] = (),
+    fill_limit: int = 3,
+    rules: RegimeRules = RegimeRules(),
+) -> DataFrame:
+    """What the quantile forecaster learns from: observed rows with price, regime and prices ahead.
+
+    The same columns as in :func:`training_frame`, without the market and rank features the
+    forecaster does not use, so without their shuffles.
+    """
+    panel = expand_calendar(
+        _sparse(prices, metric), stations, fetch_log, start, end, scope, [metric, "is_observed_price"]
+    ).withColumnRenamed(metric, "price")
+    frame = with_regimes(ts.with_filled_price(panel, "price", fill_limit), "price_ffill", rules)
+    frame = frame.withColumn("ahead", ts.future_prices("price", furthest))
+    return frame.where(F.col("is_observed_price") == 1).select(
+        *scope, "date", "station_id", "price", "is_observed_price", "regime", "ahead"
+    )
+
+
 def training_frame(
     prices: DataFrame,
     stations: DataFrame,
@@ -82,12 +116,10 @@ def training_frame(
     The market statistics are taken from the sparse quotes, which give the same result as the
     expanded panel at a fraction of its rows.
     """
-    rows = prices.withColumn("is_observed_price", observed_flag(METRICS)).select(
-        "date", "station_id", metric, "is_observed_price"
-    )
+    rows = _sparse(prices, metric)
     panel = expand_calendar(
         rows, stations, fetch_log, start, end, attributes=scope, metrics=[metric, "is_observed_price"]
     )
     known = rows.join(stations.select("station_id", *scope), "station_id")
-    market = mk.market_stats(in_range(known, start, end).withColumn("price", to_number(metric)), "price", [*scope, "date"])
+    market = mk.market_stats(in_range(known, start, end).withColumnRenamed(metric, "price"), "price", [*scope, "date"])
     return features(panel, metric, horizons, fill_limit, scope, market, rules)

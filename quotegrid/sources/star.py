@@ -8,6 +8,7 @@ the lines. Sums are over whole cents, so they do not depend on the order of the
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from quotegrid.functions.text import column_name
 from quotegrid.operators.upsert import log_from_prices
@@ -20,8 +21,15 @@ CONDITIONS = dict(zip(METRICS, [
 FETCHED_AT = "timestamp '2002-01-01 00:00:00'"
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    """One table; its schema is inferred once per path."""
+    path = f"{folder}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def quote(cents: Column, lines: Column) -> Column:
