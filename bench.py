@@ -35,6 +35,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    catalog.ROUNDING = False
     catalog.QUERIES["date_bounds"](spark, folder).collect()  # starts the executor threads
     times = {}
     for name in names:

@@ -54,37 +54,40 @@ def rolling_median(column: str, n: int, at_least: int, keys: Sequence[str] = STA
     return F.when(size >= at_least, middle)
 
 
-def with_rolling_extremes(
-    df: DataFrame, column: str, n: int, at_least: int, min_name: str, max_name: str,
-    keys: Sequence[str] = STATION,
-) -> DataFrame:
+class RollingExtremes:
     """Rolling min and max over a long frame in two short steps.
 
     Step one takes the extremes of a block of about ``sqrt(n)`` rows, step two the extremes of the
     block results lagged so that together they cover exactly the last ``n`` rows. About
     ``2 * sqrt(n)`` values per row instead of ``n``, on one sort. Lags before the start of a series
-    are NULL, which ``least`` and ``greatest`` skip.
+    are NULL, which ``least`` and ``greatest`` skip. The steps are given as columns, so that they can
+    share a window pass with others.
     """
-    block = max(1, round(n ** 0.5))
-    frame = last_rows(block, keys)
-    w = series(keys)
-    stepped = df.withColumns({
-        "_lo": F.min(column).over(frame),
-        "_hi": F.max(column).over(frame),
-        "_seen": F.count(column).over(so_far(keys)),
-    })
-    starts = list(range(0, n - block, block)) + [n - block]
-
-    def combined(fn, name):
-        parts = [F.lag(name, k).over(w) if k else F.col(name) for k in starts]
-        return fn(*parts) if len(parts) > 1 else parts[0]
-
-    seen = F.col("_seen") - F.coalesce(F.lag("_seen", n).over(w), F.lit(0))
-    return stepped.withColumns({
-        "_lo_n": combined(F.least, "_lo"),
-        "_hi_n": combined(F.greatest, "_hi"),
-        "_seen_n": seen,
-    }).withColumns({
-        min_name: F.when(F.col("_seen_n") >= at_least, F.col("_lo_n")),
-        max_name: F.when(F.col("_seen_n") >= at_least, F.col("_hi_n")),
-    }).drop("_lo", "_hi", "_seen", "_lo_n", "_hi_n", "_seen_n")
+
+    def __init__(self, column: str, n: int, at_least: int, keys: Sequence[str] = STATION):
+        self.column, self.n, self.at_least, self.keys = column, n, at_least, keys
+        self.block = max(1, round(n ** 0.5))
+
+    def blocks(self) -> dict[str, Column]:
+        frame = last_rows(self.block, self.keys)
+        return {
+            "_lo": F.min(self.column).over(frame),
+            "_hi": F.max(self.column).over(frame),
+            "_seen": F.count(self.column).over(so_far(self.keys)),
+        }
+
+    def combined(self, min_name: str, max_name: str) -> dict[str, Column]:
+        w = series(self.keys)
+        starts = [*range(0, self.n - self.block, self.block), self.n - self.block]
+
+        def over(fn, name):
+            parts = [F.lag(name, k).over(w) if k else F.col(name) for k in starts]
+            return fn(*parts) if len(parts) > 1 else parts[0]
+
+        enough = F.col("_seen") - F.coalesce(F.lag("_seen", self.n).over(w), F.lit(0)) >= self.at_least
+        return {
+            min_name: F.when(enough, over(F.least, "_lo")),
+            max_name: F.when(enough, over(F.greatest, "_hi")),
+        }
+
+    HELPERS = ("_lo", "_hi", "_seen")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quotegrid.functions.frames import STATION, rolling, rolling_median, series, so_far
 
@@ -22,26 +22,36 @@ class RegimeRules:
 
 
 def with_regimes(
-    df: DataFrame, price: str = "price_ffill", rules: RegimeRules = RegimeRules(), keys: Sequence[str] = STATION
+    df: DataFrame,
+    price: str = "price_ffill",
+    rules: RegimeRules = RegimeRules(),
+    keys: Sequence[str] = STATION,
+    alongside: Sequence[dict[str, Column]] = ({}, {}, {}),
 ) -> DataFrame:
     """Deltas, 14-day rolling statistics, reset flags and counts, and the regime.
 
     All windows share one partitioning and order: one exchange and one sort. The rolling sum of
     reset flags is the difference of two running counts. Where fewer than ten deltas lie in the last
     60 rows the scale is the median over the whole series, so it also knows later rows.
+
+    ``alongside`` adds window columns of the same series to the first, second and last window pass;
+    those of a pass may use the columns of the passes before it.
     """
+    first, second, last_pass = alongside
     w = series(keys)
     with_deltas = df.withColumns({
         **{f"delta_{k}": F.col(price) - F.lag(price, k).over(w) for k in (1, 3, 7)},
         "rolling_std_14": rolling(F.stddev_samp, price, 14, 5, keys),
         "rolling_mean_14": rolling(F.avg, price, 14, 5, keys),
+        **first,
     }).withColumn("_abs_delta", F.abs("delta_1"))
 
-    scale = rolling_median("_abs_delta", 60, 10, keys)
+    scaled = with_deltas.withColumns({"_recent": rolling_median("_abs_delta", 60, 10, keys), **second})
     if rules.scale_fallback == "series":
         whole = F.expr("percentile(_abs_delta, 0.5)").over(Window.partitionBy(*keys))
-        scale = F.coalesce(scale, whole)
-    scaled = with_deltas.withColumn("robust_scale", scale)
+        scaled = scaled.withColumn("robust_scale", F.coalesce("_recent", whole))
+    else:
+        scaled = scaled.withColumn("robust_scale", F.col("_recent"))
 
     # A missing scale makes the thresholds missing too; greatest() alone would skip it.
     known = F.col("robust_scale").isNotNull()
@@ -60,6 +70,7 @@ def with_regimes(
     recent = counted.withColumns({
         "recent_resets_90": F.col("_resets") - earlier,
         "days_since_reset": F.coalesce(F.datediff("date", "_last_reset"), F.lit(999)),
+        **last_pass,
     })
     regime = (
         F.when(F.col("delta_3") >= shock_at, "shock_up")
@@ -67,4 +78,4 @@ def with_regimes(
         .when(F.col("recent_resets_90") >= rules.min_resets_for_cyclical, "cyclical")
         .otherwise("stable")
     )
-    return recent.withColumn("regime", regime).drop("_abs_delta", "_resets", "_last_reset")
+    return recent.withColumn("regime", regime).drop("_abs_delta", "_recent", "_resets", "_last_reset")

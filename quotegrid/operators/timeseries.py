@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quotegrid.functions.frames import STATION, last_rows, rolling, series, so_far, with_rolling_extremes
+from quotegrid.functions.frames import STATION, RollingExtremes, last_rows, rolling, series, so_far
 
 LAGS = (1, 2, 3, 7, 14, 30)
 CHANGES = (1, 3, 7, 14)
@@ -39,13 +39,24 @@ def rolling_columns(column: str = "price_ffill", keys: Sequence[str] = STATION)
     return out
 
 
+YEAR = ("roll_min_365", "roll_max_365")
+
+
+def year_extremes(column: str = "price_ffill", keys: Sequence[str] = STATION) -> RollingExtremes:
+    return RollingExtremes(column, 365, 30, keys)
+
+
+def price_position(column: str = "price_ffill") -> Column:
+    """The price's place between the lowest and highest of the last 365 rows."""
+    span = F.col(YEAR[1]) - F.col(YEAR[0])
+    return F.when(span > 0, (F.col(column) - F.col(YEAR[0])) / span)
+
+
 def with_price_position(df: DataFrame, column: str = "price_ffill", keys: Sequence[str] = STATION) -> DataFrame:
-    """``roll_min_365``, ``roll_max_365`` and the price's place between them."""
-    df = with_rolling_extremes(df, column, 365, 30, "roll_min_365", "roll_max_365", keys)
-    span = F.col("roll_max_365") - F.col("roll_min_365")
-    return df.withColumn(
-        "price_position_365", F.when(span > 0, (F.col(column) - F.col("roll_min_365")) / span)
-    )
+    """``roll_min_365``, ``roll_max_365`` and ``price_position_365``."""
+    extremes = year_extremes(column, keys)
+    df = df.withColumns(extremes.blocks()).withColumns(extremes.combined(*YEAR)).drop(*extremes.HELPERS)
+    return df.withColumn("price_position_365", price_position(column))
 
 
 def future_prices(price: str, furthest: int, keys: Sequence[str] = STATION) -> Column:

@@ -49,15 +49,14 @@ def features(
 
     filled = ts.with_filled_price(narrow, "price", fill_limit)
     placed = by_key(mk.with_price_ranks(filled, "price_ffill", day), ["station_id"])
-    frame = with_regimes(placed, "price_ffill", rules)
-    frame = frame.withColumns({
-        "days_since_observed": ts.observed_count(),
-        "ahead": ts.future_prices("price", max(horizons)),
-        **ts.lag_columns(),
-        **ts.rolling_columns(),
-    })
-    frame = ts.with_price_position(frame)
-    frame = frame.withColumns(ts.change_columns())
+    extremes = ts.year_extremes()
+    # Wide columns come with the last window pass; the passes before it carry narrow rows.
+    frame = with_regimes(placed, "price_ffill", rules, alongside=(
+        {"days_since_observed": ts.observed_count(), **extremes.blocks()},
+        extremes.combined(*ts.YEAR),
+        {**ts.lag_columns(), **ts.rolling_columns(), "ahead": ts.future_prices("price", max(horizons))},
+    )).drop(*extremes.HELPERS)
+    frame = frame.withColumns({**ts.change_columns(), "price_position_365": ts.price_position()})
     frame = mk.with_spreads(mk.with_market(frame, market, day))
     frame = frame.withColumns({**ts.calendar_columns(), **ts.target_columns(horizons)})
     return frame.withColumns({
@@ -92,8 +91,10 @@ def model_frame(
     panel = expand_calendar(
         _sparse(prices, metric), stations, fetch_log, start, end, scope, [metric, "is_observed_price"]
     ).withColumnRenamed(metric, "price")
-    frame = with_regimes(ts.with_filled_price(panel, "price", fill_limit), "price_ffill", rules)
-    frame = frame.withColumn("ahead", ts.future_prices("price", furthest))
+    frame = with_regimes(
+        ts.with_filled_price(panel, "price", fill_limit), "price_ffill", rules,
+        alongside=({}, {}, {"ahead": ts.future_prices("price", furthest)}),
+    )
     return frame.where(F.col("is_observed_price") == 1).select(
         *scope, "date", "station_id", "price", "is_observed_price", "regime", "ahead"
     )

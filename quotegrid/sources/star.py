@@ -56,20 +56,25 @@ def prices(spark: SparkSession, folder: str, where: str = "true") -> DataFrame:
 def stations(spark: SparkSession, folder: str) -> DataFrame:
     """The station table with ``scope_id``, the municipality's market."""
     nation, region = read(spark, folder, "nation"), read(spark, folder, "region")
-    places = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    supplier = read(spark, folder, "supplier")
+    # Two fixed lists (25 and 5 rows) become one map, so that the size estimate of the station table
+    # is that of the supplier table and not a product of joins.
+    place = F.struct(F.col("n_name").alias("municipality"), F.col("r_name").alias("province"))
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey).agg(
+        F.map_from_entries(F.collect_list(F.struct("n_nationkey", place))).alias("m")
+    )
     none = F.lit(None)
-    return supplier.join(F.broadcast(places), supplier.s_nationkey == places.n_nationkey).select(
+    placed = read(spark, folder, "supplier").withColumn("_p", places.select("m").scalar()[F.col("s_nationkey")])
+    return placed.where("_p is not null").select(
         F.col("s_suppkey").cast("string").alias("station_id"),
         F.col("s_name").alias("station_name"),
         none.cast("string").alias("address"),
-        F.col("n_name").alias("municipality"),
-        F.col("r_name").alias("province"),
+        F.col("_p.municipality").alias("municipality"),
+        F.col("_p.province").alias("province"),
         none.cast("double").alias("latitude"),
         none.cast("double").alias("longitude"),
         none.cast("string").alias("schedule"),
         F.expr(FETCHED_AT).alias("updated_at"),
-        column_name(F.concat_ws("_", "n_name", "r_name")).alias("scope_id"),
+        column_name(F.concat_ws("_", "_p.municipality", "_p.province")).alias("scope_id"),
     )
 
 
