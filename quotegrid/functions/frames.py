@@ -42,16 +42,20 @@ def rolling(agg, column: str, n: int, at_least: int, keys: Sequence[str] = STATI
     return F.when(F.count(column).over(frame) >= at_least, agg(column).over(frame))
 
 
-def rolling_median(column: str, n: int, at_least: int, keys: Sequence[str] = STATION) -> Column:
-    """Median of the last ``n`` rows: the frame's values (NULLs are left out) sorted as an array.
+def recent_values(column: str, n: int, keys: Sequence[str] = STATION) -> Column:
+    """The non-NULL values of the last ``n`` rows as a sorted array, at most ``n`` long."""
+    return F.sort_array(F.collect_list(column).over(last_rows(n, keys)))
 
-    The array is at most ``n`` long. A framed ``percentile`` gives the same and rebuilds a hash
-    map per row, which is several times slower.
+
+def median_of(values: str, at_least: int) -> Column:
+    """Median of a column of sorted arrays, NULL below ``at_least`` values.
+
+    With :func:`recent_values` in a column of its own every array is sorted once. A framed
+    ``percentile`` gives the same and rebuilds a hash map per row, which is several times slower.
     """
-    values = F.sort_array(F.collect_list(column).over(last_rows(n, keys)))
     size = F.size(values)
-    middle = (F.get(values, F.floor((size - 1) / 2).cast("int")) + F.get(values, F.floor(size / 2).cast("int"))) / 2
-    return F.when(size >= at_least, middle)
+    low, high = F.floor((size - 1) / 2).cast("int"), F.floor(size / 2).cast("int")
+    return F.when(size >= at_least, (F.get(values, low) + F.get(values, high)) / 2)
 
 
 class RollingExtremes:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quotegrid.functions.frames import STATION, rolling, rolling_median, series, so_far
+from quotegrid.functions.frames import STATION, median_of, recent_values, rolling, series, so_far
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,8 @@ def with_regimes(
         **first,
     }).withColumn("_abs_delta", F.abs("delta_1"))
 
-    scaled = with_deltas.withColumns({"_recent": rolling_median("_abs_delta", 60, 10, keys), **second})
+    scaled = with_deltas.withColumns({"_values": recent_values("_abs_delta", 60, keys), **second})
+    scaled = scaled.withColumn("_recent", median_of("_values", 10)).drop("_values")
     if rules.scale_fallback == "series":
         whole = F.expr("percentile(_abs_delta, 0.5)").over(Window.partitionBy(*keys))
         scaled = scaled.withColumn("robust_scale", F.coalesce("_recent", whole))
