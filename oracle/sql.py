@@ -117,7 +117,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "futures": (["dense"], (
         "SELECT date, station_id, " + ", ".join(
             f"min(price) OVER ({ST} ROWS BETWEEN 1 FOLLOWING AND {h} FOLLOWING) AS t{h}" for h in H
-        ) + ", [" + ", ".join(f"lead(price, {k}) OVER ({ST})" for k in range(1, 15)) + "] AS ahead FROM dense"
+        ) + ", [" + ", ".join(f"lead(price, {k} ) OVER ({ST})" for k in range(1, 15)) + "] AS ahead FROM dense"
     )),
     "mrows": (["regimes", "futures"], (
         "SELECT r.date, r.station_id, r.scope_id, r.price, r.regime, t3, t5, t7, t10, t14, ahead FROM regimes r "
