@@ -17,9 +17,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a fresh one where it is unset, as in tests."""
+    """The cluster's shared folder, named by ``spark.checkpoint.dir``.
+
+    Unset, a session whose executors are threads of this process gets a fresh local folder (tests,
+    trials); on a cluster that is an error, as executors do not see each other's disks.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="quotegrid-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
