@@ -123,10 +123,10 @@ def bitmap(keys: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
     dropped by the exact join that follows. ``column`` is a 64-bit hash.
     """
     at = F.pmod(F.col(column), F.lit(bits))
-    words = keys.select((at / 32).cast("int").alias("w"), F.shiftleft(F.lit(1).cast("long"), (at % 32).cast("int")).alias("v"))
-    got = words.groupBy("w").agg(F.bit_or("v").alias("v")).toPandas()
+    words = keys.select(((at - at % 32) / 32).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 32).cast("int")).alias("v"))
+    got = words.groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
     out = np.zeros(bits // 32, dtype=np.uint32)
-    out[got["w"].to_numpy(dtype=np.int64)] = got["v"].to_numpy(dtype=np.int64).astype(np.uint32)
+    out[got["w"].to_numpy().astype(np.int64)] = got["v"].to_numpy().astype(np.uint32)
     return out
 
 

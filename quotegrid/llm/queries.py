@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quotegrid.llm import byte_bpe, fingerprints, packing, quality_classifier, quality_rules, sharding, token_counts, warc, wrappers
+from quotegrid.llm import byte_bpe, fingerprints, jaccard_join, packing, quality_classifier, quality_rules, sharding, token_counts, warc, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,6 +49,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op7_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(read(spark, sf_dir, "pages"))
