@@ -642,7 +642,8 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT scope_id, fuel_col, date, station_id, price, regime, target, {preds}, decision, realized_wait_gain, {SAVING} AS policy_realized_saving, oracle_best_action FROM daily", "daily")
     o["publish_summary"] = build("SELECT * FROM daily_summary", "daily_summary")
     o["publish_payload_stations"] = build(
-        "SELECT 1 AS page, d.scope_id, s.recommendation, s.n_stations, station_id, price, decision FROM daily d JOIN daily_summary s ON d.scope_id = s.scope_id", "daily", "daily_summary")
+        "SELECT d.scope_id, s.recommendation, s.n_stations, station_id, price, decision FROM daily d JOIN daily_summary s ON d.scope_id = s.scope_id", "daily", "daily_summary")
+    o["publish_payload_json"] = build("SELECT *, 3 AS horizon_days, 0.001e0 AS waiting_cost FROM daily_summary", "daily_summary")
     o["json_null_clean"] = (
         f"SELECT {LINES}, l_extendedprice, CASE WHEN l_linenumber > 3 THEN l_extendedprice END AS x, CASE WHEN l_linenumber > 3 THEN l_extendedprice END AS x0, "
         "CASE WHEN l_linenumber > 3 THEN 0 ELSE 1 END AS has_null FROM lineitem")
@@ -706,6 +707,14 @@ def oracle_sql() -> dict[str, str]:
         f"{ALL} {panel}", "prices", "stations")
     o["history_roundtrip"] = build(
         f"SELECT p.date, p.station_id, station_name, municipality, {ALL}, l.status AS fetch_status {panel} LEFT JOIN fetch_log l ON l.date = p.date "
-        f"WHERE p.date BETWEEN DATE '1996-03-05' AND DATE '2001-03-31' AND coalesce({ALL}) IS NOT NULL", "prices", "stations", "fetch_log")
+        f"WHERE coalesce({ALL}) IS NOT NULL", "prices", "stations", "fetch_log")
     o["stream_ingest"] = build(f"SELECT date, station_id, {ALL} FROM prices", "prices")
+    landed = "SELECT date, precio_gasoleo_a AS p, CAST(station_id AS int) % 11 = 3 AS bad_day, CAST(station_id AS int) % 13 = 5 AS broken FROM prices"
+    o["stream_ingest_split_days"] = build(
+        "SELECT date, CASE WHEN count(*) FILTER (WHERE broken) > 0 THEN 'failed' ELSE 'fetched' END AS status, "
+        "count(*) FILTER (WHERE NOT broken) AS records_count, nullif(count(*) FILTER (WHERE NOT broken), 0) AS rows, "
+        f"round(sum(p) FILTER (WHERE NOT broken), 3) AS total FROM ({landed}) l WHERE NOT bad_day GROUP BY date", "prices")
+    o["stream_ingest_rejects"] = build(
+        "SELECT CASE WHEN bad_day THEN 'UnreadableDay' ELSE 'UnreadableDocument' END AS reason, "
+        f"CASE WHEN bad_day THEN 'day ' ELSE '' END || CAST(date AS varchar) AS day, count(*) AS documents FROM ({landed}) l WHERE bad_day OR broken GROUP BY 1, 2", "prices")
     return o

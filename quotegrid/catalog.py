@@ -740,19 +740,23 @@ def publish_summary(spark, d):
 
 @query
 def publish_payload_stations(spark, d):
-    """The published documents read back: one row per station entry."""
-    document = (
-        "scope_id string, summary struct<recommendation:string,n_stations:bigint>, "
-        "stations array<struct<station_id:string,price:double,decision:string>>"
-    )
-    return _daily(spark, d).payloads.select("page", F.from_json("payload", document).alias("p")).select(
-        "page", "p.scope_id", "p.summary.recommendation", "p.summary.n_stations", F.explode("p.stations").alias("s")
-    ).select("page", "scope_id", "recommendation", "n_stations", "s.*")
+    """The station lines read back, with the summary of their scope's document."""
+    run = _daily(spark, d)
+    head = run.payloads.select("scope_id", F.from_json("payload", "summary struct<recommendation:string,n_stations:bigint>").alias("p"))
+    lines = run.stations.select("scope_id", F.from_json("line", "station_id string, price double, decision string").alias("s"))
+    return lines.join(head, "scope_id").select("scope_id", "p.summary.recommendation", "p.summary.n_stations", "s.*")
 
 
 @query
 def publish_payload_json(spark, d):
-    return _daily(spark, d).payloads
+    """The summary documents parsed back."""
+    summary = (
+        "recommendation:string,n_stations:bigint,n_buy_now:bigint,n_wait:bigint,selected_station_id:string,"
+        "selected_station_price:double,cheapest_station_id:string,cheapest_station_price:double"
+    )
+    document = f"scope_id string, fuel_col string, model struct<horizon_days:int,waiting_cost:double>, summary struct<{summary}>"
+    return _daily(spark, d).payloads.select(F.from_json("payload", document).alias("p")).select(
+        "p.scope_id", "p.fuel_col", "p.model.horizon_days", "p.model.waiting_cost", "p.summary.*")
 
 
 @query
@@ -1027,7 +1031,7 @@ def history_roundtrip(spark, d):
     folder = working_path(spark, "history")
     tb.export_history({"prices": p, "stations": s, "fetch_log": star.fetch_log(spark, d)}, folder)
     paths = tb.import_history(spark, folder, working_path(spark, "tables"))
-    prices = tb.read_prices(spark, paths["prices"], "1996-03-05", "2001-03-31")
+    prices = spark.read.parquet(paths["prices"])
     stations = spark.read.parquet(paths["stations"])
     log = spark.read.parquet(paths["fetch_log"])
     return pn.station_panel(prices, stations, log).select(
@@ -1054,3 +1058,37 @@ def stream_ingest(spark, d):
     feed_documents(spark, d).select(F.col("date").cast("string").alias("date"), "value").repartition(8, "date").write.json(landing)
     ingest(spark, landing, store, files_per_batch=4, layout="bundles")
     return current_table(spark, store, "prices").drop("fetched_at")
+
+
+def _split_landing(spark, d) -> str:
+    """The feed landed so that each day lies in several files, some days unreadable, some documents broken."""
+    n = F.col("station_id").cast("int")
+    docs = feed_documents(spark, d).withColumn("part", F.pmod(n, F.lit(5)))
+    day = F.col("date").cast("string")
+    bad_day = F.when((n % 11 == 3), F.concat(F.lit("day "), day)).otherwise(day)
+    broken = F.when(n % 13 == 5, F.lit("{broken")).otherwise(F.col("value"))
+    landing = working_path(spark, "landing")
+    docs.select(bad_day.alias("date"), broken.alias("value"), "part").repartition(5, "part").drop("part").write.json(landing)
+    return landing
+
+
+@query
+def stream_ingest_split_days(spark, d):
+    """Every day in several files, fewer files a batch than a day has: the log's records per day against the rows kept."""
+    from quotegrid.streaming.ingest import current_fetch_log, current_table, ingest
+
+    landing, store = _split_landing(spark, d), working_path(spark, "store")
+    ingest(spark, landing, store, files_per_batch=1, layout="bundles")
+    kept = current_table(spark, store, "prices").groupBy("date").agg(F.count("*").alias("rows"), F.sum("precio_gasoleo_a").alias("total"))
+    log = current_fetch_log(spark, store).select("date", "status", "records_count")
+    return log.join(kept, "date", "left").select("date", "status", "records_count", "rows", F.round("total", 3).alias("total"))
+
+
+@query
+def stream_ingest_rejects(spark, d):
+    """Documents not taken in, by reason and day as landed."""
+    from quotegrid.streaming.ingest import ingest, rejected
+
+    landing, store = _split_landing(spark, d), working_path(spark, "store")
+    ingest(spark, landing, store, files_per_batch=2, layout="bundles")
+    return rejected(spark, store).groupBy("reason", "day").agg(F.count("*").alias("documents"))

@@ -106,7 +106,7 @@ def predict_latest(
     return with_policy(predicted, target, cost).select(
         *scope, "date", "station_id", "price", "regime", "pred_q20", "pred_q50", "pred_q80", target,
         "decision", "realized_wait_gain", "policy_realized_saving", "oracle_best_action",
-    ).orderBy("decision", "price", "station_id")
+    ).orderBy("decision", F.col("price").asc_nulls_last(), "station_id")
 
 
 def latest_by_cost(

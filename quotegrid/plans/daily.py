@@ -11,7 +11,7 @@ from quotegrid.operators.policy import with_policy
 from quotegrid.operators.timeseries import lowest_ahead
 from quotegrid.plans.calibration import fit_and_test
 from quotegrid.plans.frame import model_frame
-from quotegrid.plans.publication import payloads, publish_summary
+from quotegrid.plans.publication import payloads, publish_summary, station_lines
 
 
 @dataclass
@@ -22,6 +22,7 @@ class DailyRun:
     models: DataFrame
     summary: DataFrame
     payloads: DataFrame
+    stations: DataFrame
 
 
 def daily_run(
@@ -43,6 +44,8 @@ def daily_run(
     keys = ["scope_id", "horizon_days"]
     active = production.where(F.col("fuel_col") == metric)
     horizons = [r[0] for r in active.select("horizon_days").distinct().collect()]  # the grid: a few values
+    if not horizons:
+        raise ValueError(f"no production model of {metric}")
     frame = model_frame(prices, stations, metric, max(horizons), fetch_log, scope=["scope_id"]).drop("is_observed_price")
     if stage is not None:
         frame = stage(frame, "daily-frame")
@@ -60,9 +63,12 @@ def daily_run(
     latest = with_policy(predicted, "target", F.col("waiting_cost")).withColumn("fuel_col", F.lit(metric))
     latest = latest.drop("waiting_cost", "horizon_days")
     latest = latest.select("scope_id", "fuel_col", *[c for c in latest.columns if c not in ("scope_id", "fuel_col")])
+    if stage is not None:
+        latest = stage(latest, "daily-latest")
     return DailyRun(
         latest=latest,
         models=models,
         summary=publish_summary(latest, scopes=active.select("scope_id", "fuel_col")),
         payloads=payloads(latest, scopes, active, generated_at),
+        stations=station_lines(latest),
     )

@@ -11,17 +11,16 @@ from quotegrid.functions.text import finite
 from quotegrid.schema import BUY_NOW, NO_DATA, WAIT
 
 SCOPE = ("scope_id", "fuel_col")
-PAGE_ROWS = 5000
 
 
 def publish_summary(latest: DataFrame, keys: Sequence[str] = SCOPE, scopes: DataFrame | None = None) -> DataFrame:
     """Per scope: counts of decisions, the cheapest station, and the station to go to.
 
-    That is the cheapest one with ``buy_now``, else the cheapest of all. Scopes of ``scopes`` without
-    a station get the recommendation ``no_data``.
+    That is the cheapest one with ``buy_now``, else the cheapest of all; stations without a price come last. Scopes of ``scopes``
+    without a station get the recommendation ``no_data``.
     """
     keys = list(keys)
-    station = F.struct("price", "station_id")
+    station = F.struct(F.col("price").isNull().alias("no_price"), "price", "station_id")
     buy = F.col("decision") == BUY_NOW
     grouped = latest.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_stations"),
@@ -60,51 +59,30 @@ def json_ready(df: DataFrame) -> DataFrame:
     return df.select(*[clean(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
-def payloads(
-    latest: DataFrame,
-    scopes: DataFrame,
-    models: DataFrame,
-    generated_at,
-    page_rows: int = PAGE_ROWS,
-) -> DataFrame:
-    """``scope_id, fuel_col, page, pages, payload``: the JSON document of each scope and fuel.
+def payloads(latest: DataFrame, scopes: DataFrame, models: DataFrame, generated_at) -> DataFrame:
+    """``scope_id, fuel_col, payload``: the JSON summary document of each scope and fuel.
 
     ``scopes``: scope_id, municipality, province. ``models``: production rows (scope_id, fuel_col,
-    horizon_days, waiting_cost, selected_on, selection_method, version). A scope of up to
-    ``page_rows`` stations is one document. A larger one is split into pages by station, each with
-    the whole summary and its own part of the stations, so no task has to hold a scope of any size.
+    horizon_days, waiting_cost, selected_on, selection_method, version). The stations are lines of their own
+    (:func:`station_lines`), whatever their number; ``artifacts`` names the folder of the scope's lines.
     """
     keys = list(SCOPE)
     heads = models.select(*keys, "horizon_days", "waiting_cost", "selected_on", "selection_method", "version").join(
         scopes.select("scope_id", "municipality", "province"), "scope_id"
     )
-    summary = publish_summary(latest, keys, heads)
-    sized = latest.join(summary.select(*keys, "n_stations"), keys)
-    pages = F.greatest(F.ceil(F.col("n_stations") / page_rows), F.lit(1)).cast("int")
-    fields = [c for c in latest.columns if c not in keys]
-    entry = F.struct(F.col("decision").alias("_d"), F.col("price").alias("_p"), F.col("station_id").alias("_s"),
-                     F.struct(*fields).alias("row"))
-    stations = (
-        json_ready(sized)
-        .withColumns({"pages": pages})
-        .withColumn("page", F.pmod(F.xxhash64("station_id"), F.col("pages")).cast("int") + 1)
-        .groupBy(*keys, "page", "pages").agg(F.sort_array(F.collect_list(entry)).alias("_sorted"))
-        .select(*keys, "page", "pages", F.transform("_sorted", lambda e: e["row"]).alias("stations"))
-    )
-    none = F.array().cast(T.ArrayType(latest.select(*fields).schema))
-    full = (
-        heads.join(summary, keys).join(stations, keys, "left")
-        .withColumns({
-            "page": F.coalesce("page", F.lit(1)), "pages": F.coalesce("pages", F.lit(1)),
-            "stations": F.coalesce("stations", none),
-        })
-    )
+    full = heads.join(publish_summary(json_ready(latest), keys, heads), keys)
     known = F.struct("recommendation", "n_stations", "n_buy_now", "n_wait", "selected_station_id",
                      "selected_station_price", "cheapest_station_id", "cheapest_station_price")
+    lines = F.concat(F.lit("stations/scope_id="), F.col("scope_id"), F.lit("/fuel_col="), F.col("fuel_col"))
     document = F.struct(
         "scope_id", "municipality", "province", "fuel_col",
         F.struct("horizon_days", "waiting_cost", "selected_on", "selection_method", "version").alias("model"),
-        F.lit(generated_at).alias("generated_at"), known.alias("summary"), "stations",
+        F.lit(generated_at).alias("generated_at"), known.alias("summary"), F.struct(lines.alias("stations")).alias("artifacts"),
     )
-    text = F.to_json(document, {"ignoreNullFields": "false"})
-    return full.select(*keys, "page", "pages", text.alias("payload"))
+    return full.select(*keys, F.to_json(document, {"ignoreNullFields": "false"}).alias("payload"))
+
+
+def station_lines(latest: DataFrame) -> DataFrame:
+    """``scope_id, fuel_col, station_id, line``: one JSON line per station of the latest recommendations."""
+    fields = [c for c in latest.columns if c not in SCOPE]
+    return json_ready(latest).select(*SCOPE, "station_id", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("line"))

@@ -73,14 +73,18 @@ def promotion_gate(
     share_wait_between: tuple[float, float] = (0.0, 1.0),
     min_relative_gain: float | None = None,
     max_accuracy_drop: float | None = None,
-    strict: bool = False,
+    current: DataFrame | None = None,
 ) -> DataFrame:
     """Candidates with ``reasons`` against promotion and ``approved`` where there is none.
 
     Checks that the share of waits lies in range and that saving and accuracy are there. With
-    ``strict`` also the gain in saving and the drop in accuracy against columns
-    ``current_saving`` and ``current_accuracy``.
+    ``current`` (scope_id, fuel_col, current_saving, current_accuracy: the metrics of the model in production, one row each) also the gain
+    in saving and the drop in accuracy; a scope without a row there passes these two.
     """
+    columns = candidate.columns
+    if current is not None:
+        candidate = candidate.join(
+            current.select("scope_id", "fuel_col", "current_saving", "current_accuracy"), ["scope_id", "fuel_col"], "left")
     saving, accuracy = F.col(f"metrics.{PRIMARY_METRIC}"), F.col("metrics.decision_accuracy_vs_oracle")
     share = F.col("metrics.share_wait")
     low, high = share_wait_between
@@ -89,14 +93,14 @@ def promotion_gate(
         F.when(saving.isNull(), "missing_saving"),
         F.when(accuracy.isNull(), "missing_accuracy"),
     ]
-    if strict:
+    if current is not None:
         if min_relative_gain is not None:
             gain_needed = F.col("current_saving") * (1 + min_relative_gain)
             checks.append(F.when(saving < gain_needed, "saving_gain_too_small"))
         if max_accuracy_drop is not None:
             checks.append(F.when(accuracy < F.col("current_accuracy") - max_accuracy_drop, "accuracy_drop_too_large"))
-    return candidate.withColumn("reasons", F.array_compact(F.array(*checks))).withColumn(
-        "approved", F.size("reasons") == 0
+    return candidate.withColumn("reasons", F.array_compact(F.array(*checks))).select(
+        *columns, "reasons", (F.size("reasons") == 0).alias("approved")
     )
 
 
