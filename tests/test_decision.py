@@ -69,12 +69,18 @@ def test_published_summary_and_payload(spark, latest):
     summary = documents["alc"]["summary"]
     assert (summary["n_stations"], summary["n_buy_now"], summary["n_wait"]) == (13, 4, 9)
     assert (summary["recommendation"], summary["selected_station_id"], summary["selected_station_price"]) == ("buy_now", "15366", 1.639)
-    assert [s["station_id"] for s in documents["alc"]["stations"]] == [r[0] for r in LATEST]
-    assert documents["alc"]["stations"][4]["policy_realized_saving"] is None
-    assert documents["none"]["summary"]["recommendation"] == "no_data" and documents["none"]["stations"] == []
-    # a scope above the page size is split and stays whole
-    pages = [json.loads(r["payload"]) for r in pub.payloads(keyed, scopes, models, "now", page_rows=4).where("scope_id = 'alc'").collect()]
-    assert len(pages) > 1 and sorted(s["station_id"] for p in pages for s in p["stations"]) == sorted(r[0] for r in LATEST)
+    assert documents["none"]["summary"]["recommendation"] == "no_data"
+    lines = [json.loads(r["line"]) for r in pub.station_lines(keyed).where("scope_id = 'alc'").collect()]
+    assert sorted(x["station_id"] for x in lines) == sorted(r[0] for r in LATEST)
+    assert all(x["policy_realized_saving"] is None or isinstance(x["policy_realized_saving"], float) for x in lines)
+
+
+def test_stations_without_a_price_come_last(spark):
+    rows = [("s", "f", "1", None, "buy_now"), ("s", "f", "2", 1.5, "wait"), ("s", "f", "3", 1.6, "buy_now"), ("t", "f", "4", None, "buy_now")]
+    df = spark.createDataFrame(rows, "scope_id string, fuel_col string, station_id string, price double, decision string")
+    got = {r["scope_id"]: r for r in pub.publish_summary(df).collect()}
+    assert (got["s"]["cheapest_station_id"], got["s"]["selected_station_id"]) == ("2", "3")
+    assert got["t"]["selected_station_id"] == "4" and got["t"]["selected_station_price"] is None
 
 
 def test_quantiles_match_numpy(spark):

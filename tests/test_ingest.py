@@ -103,9 +103,41 @@ def test_stream(spark, tmp_path):
     ig.ingest(spark, str(landing), store)
     prices = {str(r["date"]): r["precio_gasoleo_a"] for r in ig.current_table(spark, store, "prices").collect()}
     assert prices == {"2024-01-01": 1.6, "2024-01-02": 1.7}
+    land("bad-day", "a.json", json.dumps([RECORD]))
+    ig.ingest(spark, str(landing), store)
+    assert {(r["day"], r["reason"]) for r in ig.rejected(spark, store).collect()} == {("2024-01-02", "UnreadableDocument"), ("bad-day", "UnreadableDay")}
     merged = ig.compact(spark, store, str(tmp_path / "merged"))
     assert ig.current_table(spark, merged, "prices").count() == 2 and ig.current_fetch_log(spark, merged).count() == 3
     assert ig.current_table(spark, merged, "stations").count() == 1
+    land("2024-01-04", "a.json", json.dumps([RECORD]))
+    ig.ingest(spark, str(landing), merged)  # goes on where the old store was: one new day, nothing read again
+    assert ig.current_table(spark, merged, "prices").count() == 3 and ig.rejected(spark, merged).count() == 2
+
+
+def test_a_run_broken_off_goes_on_with_its_snapshot(spark, tmp_path):
+    landing, store = tmp_path / "landing" / "date=2024-01-01", str(tmp_path / "store")
+    landing.mkdir(parents=True)
+    for i in range(6):
+        (landing / f"{i}.json").write_text(json.dumps([{**RECORD, "IDEESS": str(i)}]), encoding="utf-8")
+    run, real, calls = ig.open_run(spark, store), ig.write_batch, []
+
+    def failing(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return real(*args, **kwargs)
+
+    ig.write_batch = failing
+    try:
+        with pytest.raises(Exception):
+            ig.ingest(spark, str(tmp_path / "landing"), store, files_per_batch=2)
+    finally:
+        ig.write_batch = real
+    assert ig.open_run(spark, store) == run
+    ig.ingest(spark, str(tmp_path / "landing"), store, files_per_batch=2)
+    assert ig.current_table(spark, store, "prices").count() == 6
+    entry = ig.current_fetch_log(spark, store).collect()
+    assert [(r["status"], r["records_count"]) for r in entry] == [("fetched", 6)] and ig.open_run(spark, store) == run + 1
 
 
 def test_boosting_beats_a_constant(spark):
