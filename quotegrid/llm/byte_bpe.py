@@ -132,8 +132,9 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
         table = token_table(path)[0]
         for batch in batches:
             column = batch.column(ids)
-            flat, at = column.values.to_pylist(), column.offsets.to_pylist()
-            out = [b"".join([table[i] for i in flat[a:b]]) for a, b in zip(at, at[1:], strict=False)]
+            flat, at = column.values.to_numpy(), column.offsets.to_pylist()
+            # one row's ids at a time as Python numbers: a batch may hold millions
+            out = [b"".join([table[i] for i in flat[a:b].tolist()]) for a, b in zip(at, at[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in rest),
                  pa.array([v if ok else None for v, ok in zip(out, column.is_valid().to_pylist(), strict=True)], type=pa.binary())],
