@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quotegrid.llm.common import CACHE_ENTRIES, list_array, slices
+from quotegrid.llm.common import list_array, slices
 
 #: Unicode white space, as the libraries' \s.
 SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -27,6 +27,10 @@ SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205
 CHUNK = re.compile(f"[{SPACE}]?[^{SPACE}]+|[{SPACE}]+(?=[{SPACE}][^{SPACE}])|[{SPACE}]+")
 #: Longer chunks are encoded each time, not kept.
 KEPT_CHARS = 64
+#: Chunks a worker keeps; emptied beyond that.
+KEPT_CHUNKS = 200_000
+#: Text bytes worked off at a time.
+SLICE = 1 << 20
 
 
 def byte_characters() -> list[str]:
@@ -95,10 +99,10 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, lengths, cache = tokenizer(path, pattern), token_table(path)[1], worker_cache(path)
-        for part in slices(batches, "body"):
+        for part in slices(batches, "body", SLICE):
             texts = part.column("body").to_pylist()
             chunked = [CHUNK.findall(t) for t in texts]
-            if len(cache) > CACHE_ENTRIES:
+            if len(cache) > KEPT_CHUNKS:
                 cache.clear()
             chunk_ids(made, chunked, cache)
             ids = [np.frombuffer(b"".join([cache[c] for c in chunks]), dtype=np.int32) for chunks in chunked]

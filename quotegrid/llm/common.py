@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 from quotegrid.session import stage
 
 #: Rows of an Arrow batch are worked off in slices of about this many text bytes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Entries after which a worker's cache is emptied; bounds its memory, never its results.
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 300_000
 
 #: A-Z to a-z, all other bytes as they are.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")

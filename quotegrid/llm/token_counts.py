@@ -17,13 +17,15 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quotegrid.llm.byte_bpe import CHUNK, KEPT_CHARS
-from quotegrid.llm.common import CACHE_ENTRIES, slices
+from quotegrid.llm.byte_bpe import CHUNK, KEPT_CHARS, SLICE
+from quotegrid.llm.common import slices
 
 #: Entries of the broadcast table; with keys of at most 64 characters it stays below 16 MB.
 FREQUENT = 1 << 15
 #: Texts the frequent chunks are read off, at most.
 SAMPLE_TEXTS = 2_000
+#: Entries of a worker's cache; emptied beyond that.
+KEPT_CHUNKS = 400_000
 
 
 @lru_cache(maxsize=2)
@@ -111,7 +113,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, key: str = "doc_
             if len(cut) > 1:
                 extra = len(cut) - 1
             pieces.append((extra, [c for p in cut for c in CHUNK.findall(p)]))
-        if len(cache) > CACHE_ENTRIES:
+        if len(cache) > KEPT_CHUNKS:
             cache.clear()
         missing = list({c for _, chunks in pieces for c in chunks if c not in known and c not in cache})
         cache.update(zip(missing, counts_of(path, missing), strict=True))
@@ -128,7 +130,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, key: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, cache = table.value, worker_cache(path)
-        for part in slices(batches, "body"):
+        for part in slices(batches, "body", SLICE):
             texts = part.column("body").to_pylist()
             total, missed = count(texts, known, cache)
             yield pa.RecordBatch.from_arrays(
