@@ -84,7 +84,7 @@ def whole_counts(path: str, texts: list[str]) -> list[int]:
 def frequent_table(docs: DataFrame, path: str, text: str = "text", most: int = FREQUENT, sample: int = SAMPLE_TEXTS) -> dict[str, int]:
     """chunk -> tokens for the chunks most frequent in at most ``sample`` texts (counted by chunks of one text)."""
     seen: Counter[str] = Counter()
-    for row in docs.select(F.col(text).alias("t")).where("t is not null").limit(sample).toLocalIterator():
+    for row in docs.select(F.col(text).alias("t")).where("t is not null").take(sample):
         seen.update(c for c in CHUNK.findall(row["t"]) if len(c) <= KEPT_CHARS)
     keys = [c for c, n in seen.most_common(most) if n > 1]
     return dict(zip(keys, counts_of(path, keys), strict=True))
