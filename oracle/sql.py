@@ -717,4 +717,17 @@ def oracle_sql() -> dict[str, str]:
     o["stream_ingest_rejects"] = build(
         "SELECT CASE WHEN bad_day THEN 'UnreadableDay' ELSE 'UnreadableDocument' END AS reason, "
         f"CASE WHEN bad_day THEN 'day ' ELSE '' END || CAST(date AS varchar) AS day, count(*) AS documents FROM ({landed}) l WHERE bad_day OR broken GROUP BY 1, 2", "prices")
+    o["panel_overlapping_batches"] = build(
+        f"SELECT d.date, s.station_id, {ALL}, CASE WHEN coalesce({ALL}) IS NOT NULL THEN 1 ELSE 0 END AS is_observed_price "
+        f"FROM days d CROSS JOIN stations s LEFT JOIN (WITH later AS ({prices_sql('l_linenumber <= 3')}) SELECT * FROM later "
+        "UNION ALL SELECT * FROM prices a WHERE NOT EXISTS (SELECT 1 FROM later b WHERE a.date = b.date AND a.station_id = b.station_id)) p "
+        "ON p.date = d.date AND p.station_id = s.station_id", "days", "prices", "stations")
+    o["collect_then_export"] = build(f"SELECT date, station_id, {ALL}, 1 AS is_observed_price FROM prices", "prices")
+    # Jobs that write what another query returns, and read it back.
+    for job, same in {
+        "dataset_export_panel": "station_panel", "dataset_export_daily": "daily_summary",
+        "experiment_tables_roundtrip": "calibration_table", "latest_table_roundtrip": "daily_run_latest",
+        "search_grid_from_config": "search_grid",
+    }.items():
+        o[job] = o[same]
     return o

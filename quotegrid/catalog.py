@@ -24,6 +24,7 @@ from quotegrid.plans import calibration as cal
 from quotegrid.plans import publication as pub
 from quotegrid.plans import selection as sel
 from quotegrid.plans.daily import daily_run
+from quotegrid.plans.export import dataset, export_dataset
 from quotegrid.plans.frame import model_frame, training_frame
 from quotegrid.schema import METRIC_GROUPS, METRICS, NUMERIC_FEATURES
 from quotegrid.session import stage, working_path
@@ -1092,3 +1093,78 @@ def stream_ingest_rejects(spark, d):
     landing, store = _split_landing(spark, d), working_path(spark, "store")
     ingest(spark, landing, store, files_per_batch=2, layout="bundles")
     return rejected(spark, store).groupBy("reason", "day").agg(F.count("*").alias("documents"))
+
+
+# Jobs that write and read back --------------------------------------------------------------
+
+@query
+def panel_overlapping_batches(spark, d):
+    """Two batches of one period: where both quote a day and station, the one fetched later holds."""
+    p, s = base(spark, d)
+    later = star.prices(spark, d, "l_linenumber <= 3").withColumn("fetched_at", now())
+    return pn.station_panel(
+        p.unionByName(later), s, include_metadata=False, drop_all_null=False, full_calendar=True, include_fetch_status=False
+    ).drop("fetched_at")
+
+
+@query
+def dataset_export_panel(spark, d):
+    p, s = base(spark, d)
+    log = star.fetch_log(spark, d)
+    path = export_dataset(p, s, log, working_path(spark, "panel") + ".csv", "panel")
+    schema = dataset(p, s, log, "panel").schema
+    return spark.read.csv(path, header=True, schema=schema, enforceSchema=False).select(
+        "date", "station_id", "station_name", "municipality", "province", *METRICS, "is_observed_price", "fetch_status"
+    )
+
+
+@query
+def dataset_export_daily(spark, d):
+    p, s = base(spark, d)
+    path = export_dataset(p, s, star.fetch_log(spark, d), working_path(spark, "daily") + ".parquet", "summary")
+    return rounded(spark.read.parquet(path), *[f"{m}_{x}" for m in METRICS for x in ("mean", "std")])
+
+
+@query
+def collect_then_export(spark, d):
+    """Landed documents are taken in, and the panel of all that was collected is written and read back."""
+    from quotegrid.streaming.ingest import ingest_and_export
+
+    landing, path = working_path(spark, "landing"), working_path(spark, "panel") + ".parquet"
+    feed_documents(spark, d).select(F.col("date").cast("string").alias("date"), "value").repartition(8, "date").write.json(landing)
+    ingest_and_export(
+        spark, landing, working_path(spark, "store"), lambda p, s, log: dataset(p, s, log, "panel"), path, layout="bundles"
+    )
+    return spark.read.parquet(path).select("date", "station_id", *METRICS, "is_observed_price")
+
+
+@query
+def experiment_tables_roundtrip(spark, d):
+    table = cal.calibration_table(staged_rows(spark, d))
+    paths = tb.write_results({"calibration": table}, working_path(spark, "experiments"), "run-1")
+    return rounded(spark.read.parquet(paths["calibration"]), *_MEASURES, *_POLICY)
+
+
+@query
+def latest_table_roundtrip(spark, d):
+    paths = tb.write_results({"latest": _daily(spark, d).latest}, working_path(spark, "results"), "run-1")
+    return rounded(spark.read.parquet(paths["latest"]), "pred_q20", "pred_q50", "pred_q80")
+
+
+@query
+def search_grid_from_config(spark, d):
+    """The search space as a configuration document, read again: candidates per fuel, defaults for the others."""
+    metrics = star.prices(spark, d).select(F.explode(F.array(*[
+        F.when(F.col(m).isNotNull(), F.lit(m)) for m in METRICS
+    ])).alias("fuel_col")).where("fuel_col is not null").distinct()
+    costs = F.when(F.col("fuel_col") == FUEL, F.array(F.lit(0.001), F.lit(0.002)))
+    candidates = F.struct(F.array(F.lit(3), F.lit(7)).alias("horizon_candidates"), costs.alias("waiting_cost_candidates"))
+    document = metrics.where(F.col("fuel_col").startswith("precio_gasoleo")).agg(F.to_json(F.struct(
+        F.array(*[F.lit(h) for h in H]).alias("default_horizon_candidates"),
+        F.array(*[F.lit(c) for c in COSTS]).alias("default_waiting_cost_candidates"),
+        F.map_from_entries(F.collect_list(F.struct("fuel_col", candidates))).alias("fuel_search_spaces"),
+    )).alias("value"))
+    path = working_path(spark, "search-space")
+    document.write.text(path)
+    space, defaults, _ = tb.read_search_space(spark, path)
+    return sel.search_grid(space, defaults, metrics)

@@ -72,7 +72,7 @@ def expand_calendar(
     ordered by date it comes first, hands its attributes to the quotes behind it, and stands for the
     whole calendar where there are none (quotes of unknown stations drop out). Each quote row is then
     exploded into its own day and the empty days before it, the last one also into the days after
-    it. Only the sparse quotes are shuffled, once, by station, which is also the partitioning every
+    it. Of several quotes of one day and station the one fetched last holds (of those, the largest values). Only the sparse quotes are shuffled, once, by station, which is also the partitioning every
     later series window needs.
     """
     start, end = parse_day(start), parse_day(end)
@@ -86,7 +86,8 @@ def expand_calendar(
     both = by_key(
         rows.select("station_id", "date", *carried).unionByName(station, allowMissingColumns=True), ["station_id"]
     )
-    w = Window.partitionBy("station_id").orderBy(F.asc_nulls_first("date"))
+    # Of several rows of one day the first one fills it, the others find no day left: the latest wins.
+    w = Window.partitionBy("station_id").orderBy(F.asc_nulls_first("date"), *[F.desc_nulls_last(c) for c in carried])
     placed = (
         both.withColumns({
             "_prev": F.lag("date").over(w),
