@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKET_WIDTH = 0.01
 
@@ -22,11 +22,12 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def running_counts(
-    counts: DataFrame, keys: Sequence[str], value: str, width: float = BUCKET_WIDTH
+    counts: DataFrame, keys: Sequence[str], value: str, width: float | Column = BUCKET_WIDTH
 ) -> DataFrame:
     """``keys, value, n, below, total`` from :func:`value_counts`.
 
     ``below`` counts the rows of the group with a smaller value, ``total`` all rows of the group.
+    ``width`` is that of a bucket, or an expression over the keys that gives it.
     """
     keys = list(keys)
     bucketed = counts.withColumn("_b", F.floor(F.col(value) / width))
