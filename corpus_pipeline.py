@@ -14,8 +14,9 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored 0.5 or more by a model fitted on the labelled ones among them."""
-    return quality_classifier.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """Documents scored 0.5 or more by a model fitted on the labelled ones of the whole table: few bad ones are left here."""
+    documents, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    return quality_classifier.keep_good(docs, labels, documents)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

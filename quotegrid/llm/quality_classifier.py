@@ -173,6 +173,10 @@ def score_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` predicted good, columns as they are."""
-    return scored(docs, fit(docs.select("doc_id", "text"), labels)).where("score >= 0.5").select("row.*")
+def keep_good(docs: DataFrame, labels: DataFrame, training: DataFrame) -> DataFrame:
+    """The rows of ``docs`` predicted good, columns as they are.
+
+    The model is fitted on the labelled rows of ``training``, the whole table, as an earlier filter may have left ``docs``
+    without bad texts.
+    """
+    return scored(docs, fit(training.select("doc_id", "text"), labels)).where("score >= 0.5").select("row.*")

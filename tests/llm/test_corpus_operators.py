@@ -282,3 +282,14 @@ def test_pipeline_stages(spark, docs, tmp_path):
     check_bins(rows, packing.CAPACITY)
     assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in now.collect()}
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(rows)
+
+
+def test_classifier_stage_knows_bad_texts_the_rules_took(spark, docs, corpus, tmp_path):
+    bad = {r[0] for r in corpus if r[1] and "!!" in r[1]}
+    unlabelled = min(bad)
+    labels = spark.createDataFrame([(r[0], int(r[0] not in bad), 0) for r in corpus[:350] if r[0] != unlabelled], "doc_id long, quality int, toxic int")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    survivors = docs.where(~docs.doc_id.isin(list(bad - {unlabelled})))  # no labelled bad text is left
+    kept = {r["doc_id"] for r in corpus_pipeline.classifier(spark, survivors, str(tmp_path)).collect()}
+    assert unlabelled not in kept and len(kept & set(range(260))) > 250
