@@ -12,6 +12,7 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -42,6 +43,15 @@ NOT_CONTENT_WORDS = set(  # fixed values: words of class, id and role
     "navbar navigation breadcrumb breadcrumbs masthead topbar footer foot copyright legal comment comments disqus reply replies "
     "discussion respond share sharing social related recommended recommendations trending popular widget widgets toolbar pagination "
     "pager search skip contentinfo complementary form".split())
+#: Of these, words of readers' comments; and words that name parts of an article as well (a warning, a sidebar).
+TALK_WORDS = set("comment comments disqus reply replies respond discussion".split())
+MIXED_WORDS = set(
+    "notice notices alert warning popular trending legal copyright search skip form rail foot sidebar complementary overlay social "
+    "related recommended recommendations promotion sponsored subscription widget widgets discussion".split())
+#: Words beside which a word says how the page is laid out: has-sidebar, page-search.
+LAYOUT_WORDS = set("has with no without layout page columns grid".split())
+WHOLE = set("html body main article".split())  # elements that no word excludes
+LEAVES = set("li tr td th dt dd p h1 h2 h3 h4 h5 h6".split())  # elements a mixed word doesn't set apart from their like
 CONTENT_WORDS = set("content article post entry story main body text".split())  # fixed values
 HEADERS = ("header", "banner")
 #: A slot of which more than this share lies in links is a list of links.
@@ -209,19 +219,72 @@ def expression(items: list) -> str:
     return "".join(map(one, items)).strip().replace(" )", ")")
 
 
-def excluded(path: str) -> bool:
-    """Whether a path leads through a menu, notice, form and so on; headings of an article's own header stay."""
-    within = False
+@lru_cache(maxsize=1 << 16)
+def marked(path: str) -> tuple[bool, tuple[tuple[str, bool, bool, bool], ...]]:
+    """Whether the tags of a path exclude it, and its elements whose words may: (prefix, talk, layout, mixed).
+
+    ``mixed``: inside a content element, by a word that names parts of articles too; the wrapper decides on these.
+    """
+    within, prefix, found = False, "", []
+    inside = container(path)[1]
     for part in path.split("/")[:-1]:
-        tag, *words = part.split(".")
-        if tag in NOT_CONTENT_TAGS or NOT_CONTENT_WORDS & set(words) or tag in HEADERS and not within:
-            return True
-        if "header" in words and not within and tag not in ("article", "main", "body", "html"):
-            return True
+        tag, *names = part.split(".")
+        words = set(names)
+        prefix = f"{prefix}/{part}" if prefix else part
+        if tag in NOT_CONTENT_TAGS or tag in HEADERS and not within:
+            return True, ()
+        hits = NOT_CONTENT_WORDS & words | ({"header"} & words if not within else set())
+        if hits and tag not in WHOLE:
+            mixed = bool(inside) and len(prefix) > len(inside) and hits <= MIXED_WORDS
+            if not mixed or tag not in LEAVES:
+                found.append((prefix, hits <= TALK_WORDS, bool(LAYOUT_WORDS & words), mixed))
         within = within or tag in ("article", "main")
-    return False
+    return False, tuple(found)
+
 
+def excluded(path: str, layout: frozenset[str] = frozenset()) -> bool:
+    """Whether a path leads through a menu, notice, form and so on; headings of an article's own header stay.
+
+    Words don't exclude the elements in ``layout``; on mixed words inside a content element see ``content_paths``.
+    """
+    by_tag, found = marked(path)
+    return by_tag or any(not mixed and prefix not in layout for prefix, _, _, mixed in found)
 
+
+def layout_elements(weights: dict[str, int]) -> frozenset[str]:
+    """Elements of a page that a word would exclude but that hold its content, from the characters outside links by path.
+
+    Outermost first, then by layout word, content element and weight: an element that holds more text than what is left without it and a better
+    content element than that. Elements of comments need a layout word beside, or a page with nothing else.
+    """
+    layout: frozenset[str] = frozenset()
+    open_paths = {p: n for p, n in weights.items() if n > 0 and not marked(p)[0]}
+    while True:
+        held: dict[tuple[str, bool, bool], list[int]] = {}
+        out, best = 0, 4  # weight without these elements, rank of its best content element
+        for p, n in open_paths.items():
+            first = next((m for m in marked(p)[1] if not m[3] and m[0] not in layout), None)
+            if first is None:
+                out, best = out + n, min(best, container(p)[0])
+            else:
+                got = held.setdefault(first[:3], [0, 4])
+                got[0] += n
+                got[1] = min(got[1], container(p)[0])
+
+        def fits(talk: bool, hint: bool, n: int, rank: int, out: int = out, best: int = best) -> bool:
+            if n <= out:
+                return False
+            if hint and rank <= best:
+                return True
+            return rank <= 1 and not out if talk else not out or rank < best and (best >= 2 or n > 2 * out)
+
+        fit = [(talk, not hint, rank, -n, prefix) for (prefix, talk, hint), (n, rank) in held.items() if fits(talk, hint, n, rank)]
+        if not fit:
+            return layout
+        layout |= {min(fit)[-1]}
+
+
+@lru_cache(maxsize=1 << 16)
 def container(path: str) -> tuple[int, str]:
     """(rank, prefix) of the element that holds content by its name: article, main, or a telling class; rank 3 none."""
     parts = path.split("/")[:-1]
@@ -234,22 +297,34 @@ def container(path: str) -> tuple[int, str]:
     return 3, ""
 
 
+def left_out(slots: list[tuple[str, str, int]]) -> list[bool]:
+    """Of each slot of a page whether it is in a menu, notice, form and so on, given what holds the page's text."""
+    weights: dict[str, int] = {}
+    for path, text, linked in slots:
+        weights[path] = weights.get(path, 0) + len(text) - linked
+    layout = layout_elements(weights)
+    return [excluded(path, layout) for path, _, _ in slots]
+
+
 def parsed(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page_id, url, host, kind, shape, slots of every page; NULL html has no slots, a NULL or odd url the host ''.
 
-    ``kind`` is the best name of a content element on the page: pages of a host with and without one have
+    ``kind`` is the best name of a content element on the page (its slots that are not ``out``): pages of a host with and without one have
     different wrappers. ``shape`` is the page's own expression, squares folded, as JSON.
     """
     schema = ("page_id long, url string, host string, kind int, shape string, "
-              "slots array<struct<path: string, text: string, linked: int>>")
-    slot = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string()), ("linked", pa.int32())]))
+              "slots array<struct<path: string, text: string, linked: int, out: boolean>>")
+    slot = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string()), ("linked", pa.int32()), ("out", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "body"):
             found = [page_slots(h) for h in part.column("body").to_pylist()]
-            kinds = [min((container(p)[0] for p, _, _ in s if not excluded(p)), default=3) for s in found]
+            left = [left_out(s) for s in found]
+            kinds = [min((container(p)[0] for (p, _, _), o in zip(s, out, strict=True) if not o), default=3)
+                     for s, out in zip(found, left, strict=True)]
             shapes = [json.dumps(squares(tree([p for p, _, _ in s])), separators=(",", ":"), ensure_ascii=False) for s in found]
-            rows = [[{"path": p, "text": t, "linked": k} for p, t, k in s] for s in found]
+            rows = [[{"path": p, "text": t, "linked": k, "out": o} for (p, t, k), o in zip(s, out, strict=True)]
+                    for s, out in zip(found, left, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("page_id"), part.column("url"), part.column("host"), pa.array(kinds, type=pa.int32()),
                  pa.array(shapes, type=pa.string()), pa.array(rows, type=slot)],
@@ -299,9 +374,12 @@ def slot_paths(wrapper: list, above: str = "") -> dict[str, bool]:
 
 
 def content_paths(frame: pd.DataFrame) -> list[str]:
-    """Of one wrapper's slots (path, pages, chars, linked, constant) those that are main text."""
+    """Of one wrapper's slots (path, slots, chars, linked, constant; none that is out) those that are main text.
+
+    Parts of a content element with a mixed word go where they are links or the same on all pages.
+    """
     has = slot_paths(json.loads(frame["wrapper"].iloc[0]))
-    frame = frame[frame["path"].isin(list(has)) & ~frame["path"].map(excluded)]
+    frame = frame[frame["path"].isin(list(has))]
     if frame.empty:
         return []
     where = frame["path"].map(container)
@@ -325,6 +403,10 @@ def content_paths(frame: pd.DataFrame) -> list[str]:
                     break
                 best = by.idxmax()
             frame = frame[frame["path"].str.startswith(best + "/")] if best else frame
+    links = frame["linked"] > LINK_SHARE * frame["chars"]
+    same = frame["constant"] & (frame["slots"] >= CONSTANT_PAGES)
+    set_apart = frame["path"].map(lambda p: any(mixed for _, _, _, mixed in marked(p)[1]))
+    frame = frame[~(set_apart & (links | same))]
     constant = frame["constant"] & ~frame["path"].map(has) & (frame["slots"] >= CONSTANT_PAGES)
     if not constant.all():
         frame = frame[~constant]
@@ -341,7 +423,7 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     """
     rows = stage(parsed(pages, key, url, html), "page-slots")
     slot = rows.select("host", "kind", F.explode("slots").alias("s")).select("host", "kind", "s.*")
-    stats = slot.groupBy("host", "kind", "path").agg(
+    stats = slot.where("not out").groupBy("host", "kind", "path").agg(
         F.count("*").alias("slots"), F.sum(F.length("text")).alias("chars"), F.sum("linked").alias("linked"),
         (F.min(F.xxhash64("text")) == F.max(F.xxhash64("text"))).alias("constant"))
 
@@ -351,7 +433,7 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     chosen = stats.join(wrappers(rows.select("host", "kind", "shape")), ["host", "kind"]).groupBy("host", "kind").applyInPandas(
         choose, "host string, kind int, content array<string>")
     chosen = stage(chosen, "wrappers")
-    blocks = F.transform(F.filter("slots", lambda s: F.array_contains(F.col("content"), s["path"])), lambda s: s["text"])
+    blocks = F.transform(F.filter("slots", lambda s: ~s["out"] & F.array_contains(F.col("content"), s["path"])), lambda s: s["text"])
     out = rows.drop("shape").join(chosen, ["host", "kind"], "left").select(
         "page_id", "url", F.coalesce(F.array_join(blocks, "\n\n"), F.lit("")).alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

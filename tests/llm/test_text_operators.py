@@ -125,6 +125,34 @@ def test_wrappers(spark):
     assert "div.ad(#)?" in made["h.x", 0] and "p(#)+" in made["h.x", 0] and "ul(li(#)+)?" in made["h.x", 0]
 
 
+def texts_of(spark, pages):
+    df = spark.createDataFrame([(i, f"http://{host}/{i}", html) for i, (host, html) in enumerate(pages)], "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in wrappers.main_text(df).collect()}
+
+
+def test_layout_classes_keep_the_article(spark):
+    art = "<article><h1>Head {0}</h1><p>All of the text number {0} lies here.</p></article>"
+    side = "<div class=sidebar><p>aside</p></div><div id=comments><article class=comment><p>I say that this is nice, nice, {0}</p></article></div>"
+    cases = [
+        f"<body class='has-sidebar'>{art}{side}", f"<div class='layout with-sidebar'>{art}{side}</div><p>top</p>",
+        f"<main class='page-search'>{art}</main>{side}", art.replace("<article", "<article class='post legal'") + side,
+        f"<div class='postWithComments'>{art}</div>{side}", f"<main><p>crumb</p><div class='hasSidebar'>{art}</div></main>{side}",
+        f"<div class='page no-sidebar'>{art.replace('article', 'div')}</div><div class=cookie-notice>Cookies are in use on all of these pages here</div>",
+    ]
+    pages = [(f"h{i}.x", c.format(n)) for i, c in enumerate(cases) for n in (1, 2)]
+    pages += [("all.x", c.format(n)) for c in cases[:6] for n in (1, 2)]  # one host: no page decides for another
+    got = texts_of(spark, pages)
+    for i in range(len(pages)):
+        n = i % 2 + 1
+        assert got[i] == f"Head {n}\n\nAll of the text number {n} lies here.", (i, got[i])
+    mixed = ("<article><p>Text {0}</p><div class=notice><p>Varies {0}</p></div><div class=notice id=b><p>Same text</p></div><ul><li class=popular>one {0}"
+             "<li>two {0}</ul><div class=related><a href=x>link {0}</a></div><div class=newsletter>mail {0}</div></article>")
+    got = texts_of(spark, [("m.x", mixed.format(n)) for n in range(4)])
+    assert all(got[n] == f"Text {n}\n\nVaries {n}\n\none {n}\n\ntwo {n}" for n in range(4))
+    menu = "<div class='main-menu'><p>Menu text one</p></div><div id=content><p>Long text of the page {0}</p></div>"
+    assert texts_of(spark, [("n.x", menu.format(1))])[0] == "Long text of the page 1"
+
+
 def spark_hash(value, seed=42):
     raw = value.encode() if isinstance(value, str) else struct.pack("<q", value)
     h = xxhash.xxh64_intdigest(raw, seed=seed)
