@@ -51,12 +51,13 @@ MIXED_WORDS = set(
 #: Words beside which a word says how the page is laid out: has-sidebar, page-search.
 LAYOUT_WORDS = set("has with no without layout page columns grid".split())
 WHOLE = set("html body main article".split())  # elements that no word excludes
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 LEAVES = set("li tr td th dt dd p h1 h2 h3 h4 h5 h6".split())  # elements a mixed word doesn't set apart from their like
 CONTENT_WORDS = set("content article post entry story main body text".split())  # fixed values
 HEADERS = ("header", "banner")
 #: A slot of which more than this share lies in links is a list of links.
 LINK_SHARE = 0.6
-#: Pages on which a slot's text must be the same to be part of the template.
+#: Distinct pages on which a slot's text must be the same to be part of the template.
 CONSTANT_PAGES = 3
 
 
@@ -297,6 +298,12 @@ def container(path: str) -> tuple[int, str]:
     return 3, ""
 
 
+def whole(path: str) -> bool:
+    """Whether a block is the content element's, be it the same on all pages: any in article or main, a heading in one by its class."""
+    rank = container(path)[0]
+    return rank < 2 or rank == 2 and path.split("/")[-2].split(".")[0] in HEADINGS
+
+
 def left_out(slots: list[tuple[str, str, int]]) -> list[bool]:
     """Of each slot of a page whether it is in a menu, notice, form and so on, given what holds the page's text."""
     weights: dict[str, int] = {}
@@ -307,12 +314,12 @@ def left_out(slots: list[tuple[str, str, int]]) -> list[bool]:
 
 
 def parsed(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """page_id, url, host, kind, shape, slots of every page; NULL html has no slots, a NULL or odd url the host ''.
+    """page_id, url, host, digest of the html, kind, shape, slots of every page; NULL html has no slots, a NULL or odd url the host ''.
 
     ``kind`` is the best name of a content element on the page (its slots that are not ``out``): pages of a host with and without one have
     different wrappers. ``shape`` is the page's own expression, squares folded, as JSON.
     """
-    schema = ("page_id long, url string, host string, kind int, shape string, "
+    schema = ("page_id long, url string, host string, digest long, kind int, shape string, "
               "slots array<struct<path: string, text: string, linked: int, out: boolean>>")
     slot = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string()), ("linked", pa.int32()), ("out", pa.bool_())]))
 
@@ -326,14 +333,15 @@ def parsed(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
             rows = [[{"path": p, "text": t, "linked": k, "out": o} for (p, t, k), o in zip(s, out, strict=True)]
                     for s, out in zip(found, left, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [part.column("page_id"), part.column("url"), part.column("host"), pa.array(kinds, type=pa.int32()),
+                [part.column("page_id"), part.column("url"), part.column("host"), part.column("digest"), pa.array(kinds, type=pa.int32()),
                  pa.array(shapes, type=pa.string()), pa.array(rows, type=slot)],
-                names=["page_id", "url", "host", "kind", "shape", "slots"])
+                names=["page_id", "url", "host", "digest", "kind", "shape", "slots"])
 
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url).cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
+    body = F.coalesce(F.col(html).cast("string"), F.lit(""))
     return pages.select(
         F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), host.alias("host"),
-        F.coalesce(F.col(html).cast("string"), F.lit("")).alias("body")).mapInArrow(run, schema)
+        F.xxhash64(body).alias("digest"), body.alias("body")).mapInArrow(run, schema)
 
 
 def wrappers(pages: DataFrame, strands: int = 32) -> DataFrame:
@@ -374,7 +382,7 @@ def slot_paths(wrapper: list, above: str = "") -> dict[str, bool]:
 
 
 def content_paths(frame: pd.DataFrame) -> list[str]:
-    """Of one wrapper's slots (path, slots, chars, linked, constant; none that is out) those that are main text.
+    """Of one wrapper's slots (path, distinct_pages, chars, linked, constant; none that is out) those that are main text.
 
     Parts of a content element with a mixed word go where they are links or the same on all pages.
     """
@@ -404,10 +412,10 @@ def content_paths(frame: pd.DataFrame) -> list[str]:
                 best = by.idxmax()
             frame = frame[frame["path"].str.startswith(best + "/")] if best else frame
     links = frame["linked"] > LINK_SHARE * frame["chars"]
-    same = frame["constant"] & (frame["slots"] >= CONSTANT_PAGES)
+    same = frame["constant"] & (frame["distinct_pages"] >= CONSTANT_PAGES)
     set_apart = frame["path"].map(lambda p: any(mixed for _, _, _, mixed in marked(p)[1]))
     frame = frame[~(set_apart & (links | same))]
-    constant = frame["constant"] & ~frame["path"].map(has) & (frame["slots"] >= CONSTANT_PAGES)
+    constant = same[frame.index] & ~frame["path"].map(has) & ~frame["path"].map(whole)
     if not constant.all():
         frame = frame[~constant]
     lists = frame["linked"] > LINK_SHARE * frame["chars"]
@@ -422,10 +430,13 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     columns are not read.
     """
     rows = stage(parsed(pages, key, url, html), "page-slots")
-    slot = rows.select("host", "kind", F.explode("slots").alias("s")).select("host", "kind", "s.*")
-    stats = slot.where("not out").groupBy("host", "kind", "path").agg(
-        F.count("*").alias("slots"), F.sum(F.length("text")).alias("chars"), F.sum("linked").alias("linked"),
-        (F.min(F.xxhash64("text")) == F.max(F.xxhash64("text"))).alias("constant"))
+    slot = rows.select("host", "kind", "digest", F.explode("slots").alias("s")).select("host", "kind", "digest", "s.*")
+    by_page = slot.where("not out").groupBy("host", "kind", "path", "digest").agg(
+        F.sum(F.length("text")).alias("chars"), F.sum("linked").alias("linked"),
+        F.min(F.xxhash64("text")).alias("least"), F.max(F.xxhash64("text")).alias("most"))
+    stats = by_page.groupBy("host", "kind", "path").agg(
+        F.count("*").alias("distinct_pages"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"),
+        (F.min("least") == F.max("most")).alias("constant"))
 
     def choose(frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([[frame["host"].iloc[0], frame["kind"].iloc[0], content_paths(frame)]], columns=["host", "kind", "content"])

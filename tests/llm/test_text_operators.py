@@ -153,6 +153,17 @@ def test_layout_classes_keep_the_article(spark):
     assert texts_of(spark, [("n.x", menu.format(1))])[0] == "Long text of the page 1"
 
 
+def test_constant_blocks_of_an_article_stay(spark):
+    copies = [("c.x", "<article><h1>Head</h1><p>One text.</p><p>Two.</p></article>")] * 4
+    same = [("s.x", f"<article><h2>Summary</h2><p>a {n}</p><p>b</p></article>") for n in range(4)]
+    named = [("d.x", f"<div class=content><h2>Background</h2><div>All rights</div><p>a {n}</p></div>") for n in range(4)]
+    twice = [("t.x", f"<div class=content><div>Part</div><p>a {n}</p></div>") for n in (0, 1) for _ in range(3)]
+    got = texts_of(spark, copies + same + named + twice)
+    assert {got[i] for i in range(4)} == {"Head\n\nOne text.\n\nTwo."}
+    assert all(got[4 + n] == f"Summary\n\na {n}\n\nb" and got[8 + n] == f"Background\n\na {n}" for n in range(4))
+    assert got[12] == "Part\n\na 0" and got[15] == "Part\n\na 1"  # two pages, six rows
+
+
 def spark_hash(value, seed=42):
     raw = value.encode() if isinstance(value, str) else struct.pack("<q", value)
     h = xxhash.xxh64_intdigest(raw, seed=seed)
