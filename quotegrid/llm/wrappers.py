@@ -13,6 +13,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import pandas as pd
 import pyarrow as pa
@@ -55,7 +56,7 @@ HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 LEAVES = set("li tr td th dt dd p h1 h2 h3 h4 h5 h6".split())  # elements a mixed word doesn't set apart from their like
 CONTENT_WORDS = set("content article post entry story main body text".split())  # fixed values
 HEADERS = ("header", "banner")
-#: A slot of which more than this share lies in links is a list of links.
+#: Blocks of one path in a row on a page of which more than this share lies in links are a list of links.
 LINK_SHARE = 0.6
 #: Distinct pages on which a slot's text must be the same to be part of the template.
 CONSTANT_PAGES = 3
@@ -313,6 +314,21 @@ def left_out(slots: list[tuple[str, str, int]]) -> list[bool]:
     return [excluded(path, layout) for path, _, _ in slots]
 
 
+def link_lists(slots: list[tuple[str, str, int]]) -> list[bool]:
+    """Of each slot of a page whether it is in a list of links, judged by runs of one path.
+
+    Headings are none, nor is anything in article or main unless a mixed word sets it apart.
+    """
+    out: list[bool] = []
+    for path, run in groupby(slots, key=lambda s: s[0]):
+        blocks = list(run)
+        apart = any(mixed for _, _, _, mixed in marked(path)[1])
+        keep = whole(path) and not apart or path.split("/")[-2:][0].split(".")[0] in HEADINGS
+        linked = sum(k for _, _, k in blocks) > LINK_SHARE * sum(len(t) for _, t, _ in blocks)
+        out += [linked and not keep] * len(blocks)
+    return out
+
+
 def parsed(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page_id, url, host, digest of the html, kind, shape, slots of every page; NULL html has no slots, a NULL or odd url the host ''.
 
@@ -330,7 +346,7 @@ def parsed(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
             kinds = [min((container(p)[0] for (p, _, _), o in zip(s, out, strict=True) if not o), default=3)
                      for s, out in zip(found, left, strict=True)]
             shapes = [json.dumps(squares(tree([p for p, _, _ in s])), separators=(",", ":"), ensure_ascii=False) for s in found]
-            rows = [[{"path": p, "text": t, "linked": k, "out": o} for (p, t, k), o in zip(s, out, strict=True)]
+            rows = [[{"path": p, "text": t, "linked": k, "out": o or a_list} for (p, t, k), o, a_list in zip(s, out, link_lists(s), strict=True)]
                     for s, out in zip(found, left, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("page_id"), part.column("url"), part.column("host"), part.column("digest"), pa.array(kinds, type=pa.int32()),
@@ -384,7 +400,7 @@ def slot_paths(wrapper: list, above: str = "") -> dict[str, bool]:
 def content_paths(frame: pd.DataFrame) -> list[str]:
     """Of one wrapper's slots (path, distinct_pages, chars, linked, constant; none that is out) those that are main text.
 
-    Parts of a content element with a mixed word go where they are links or the same on all pages.
+    Parts of a content element with a mixed word go where they are the same on all pages (lists of links went before).
     """
     has = slot_paths(json.loads(frame["wrapper"].iloc[0]))
     frame = frame[frame["path"].isin(list(has))]
@@ -411,15 +427,13 @@ def content_paths(frame: pd.DataFrame) -> list[str]:
                     break
                 best = by.idxmax()
             frame = frame[frame["path"].str.startswith(best + "/")] if best else frame
-    links = frame["linked"] > LINK_SHARE * frame["chars"]
     same = frame["constant"] & (frame["distinct_pages"] >= CONSTANT_PAGES)
     set_apart = frame["path"].map(lambda p: any(mixed for _, _, _, mixed in marked(p)[1]))
-    frame = frame[~(set_apart & (links | same))]
+    frame = frame[~(set_apart & same)]
     constant = same[frame.index] & ~frame["path"].map(has) & ~frame["path"].map(whole)
     if not constant.all():
         frame = frame[~constant]
-    lists = frame["linked"] > LINK_SHARE * frame["chars"]
-    return sorted(frame["path"][~lists])
+    return sorted(frame["path"])
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

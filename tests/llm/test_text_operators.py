@@ -164,6 +164,17 @@ def test_constant_blocks_of_an_article_stay(spark):
     assert got[12] == "Part\n\na 0" and got[15] == "Part\n\na 1"  # two pages, six rows
 
 
+def test_links_are_judged_on_the_page_and_outside_articles(spark):
+    refs = "<ul><li><a href=x>Reference one {0}</a><li><a href=y>Reference two</a><li>plain {0}</ul>"
+    pages = [("r.x", f"<article><p>Text {n}.</p>{refs.format(n)}</article>") for n in range(3)]
+    many = "".join(f"<li><a href=x>link number {i} of a long list of them</a>" for i in range(40))
+    pages += [("o.x", f"<div class=content><p>Text {n}.</p><ul><li>item {n}<li>item</ul></div>") for n in range(3)]
+    pages += [("o.x", f"<div class=content><p>Text 3.</p><ul>{many}</ul></div>")]
+    got = texts_of(spark, pages)
+    assert all(got[n] == f"Text {n}.\n\nReference one {n}\n\nReference two\n\nplain {n}" for n in range(3))
+    assert all(got[3 + n] == f"Text {n}.\n\nitem {n}\n\nitem" for n in range(3)) and got[6] == "Text 3."
+
+
 def spark_hash(value, seed=42):
     raw = value.encode() if isinstance(value, str) else struct.pack("<q", value)
     h = xxhash.xxh64_intdigest(raw, seed=seed)
