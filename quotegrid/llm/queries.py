@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quotegrid.llm import byte_bpe, fingerprints, jaccard_join, packing, quality_classifier, quality_rules, sharding, token_counts, warc, wrappers
+from quotegrid.llm import bwt_dedup, byte_bpe, fingerprints, jaccard_join, packing, quality_classifier, quality_rules, sharding, token_counts, warc, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,3 +72,8 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), shards=40)
+
+
+@query
+def op11_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.removal_report(read(spark, sf_dir, "documents"))
