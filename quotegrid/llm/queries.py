@@ -7,11 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quotegrid.llm import bwt_dedup, byte_bpe, fingerprints, jaccard_join, packing, quality_classifier, quality_rules, sharding, token_counts, warc, wrappers
+from quotegrid.llm import bwt_dedup, byte_bpe, fingerprints, jaccard_join, packing, prefix_trie, quality_classifier, quality_rules, sharding, token_counts, warc, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {"op2_warc": warc.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_warc": warc.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE}
 
 
 def query(fn: Query) -> Query:
@@ -77,3 +77,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwt_dedup.removal_report(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_report(read(spark, sf_dir, "conversations"))
