@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quotegrid.llm import bwt_dedup, byte_bpe, fingerprints, jaccard_join, packing, prefix_trie, quality_classifier, quality_rules, sharding, token_counts, warc, wrappers
+from quotegrid.llm import bwt_dedup, byte_bpe, fingerprints, jaccard_join, packing, prefix_trie, quality_classifier, quality_rules, sharding, token_counts, warc, whitening, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,3 +82,8 @@ def op11_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie_report(read(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
