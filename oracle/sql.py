@@ -455,6 +455,15 @@ NUM_TRAIN = (
     "JOIN ranks k ON r.date = k.date AND r.station_id = k.station_id"
 )
 
+CTES["trained"] = (["regimes", "market", "futures", "ranks"], f"SELECT * FROM ({NUM_TRAIN}) t WHERE target_available_7d = 1")
+NUMERIC = [  # the numeric features
+    "price", "price_ffill", "market_min", "market_mean", "market_median", "market_std", "delta_1", "delta_3", "delta_7",
+    "rolling_std_14", "rolling_mean_14", "days_since_reset", "recent_resets_90", "lag_1", "lag_2", "lag_3", "lag_7", "lag_14", "lag_30",
+    "change_1", "change_3", "change_7", "change_14", "roll_mean_7", "roll_std_7", "roll_mean_30", "roll_std_30", "price_position_365",
+    "spread_to_market_median", "spread_to_market_min", "price_rank_pct", "n_cheaper_stations", "day_of_week", "month",
+    "dow_sin", "dow_cos", "month_sin", "month_cos", "is_observed_price",
+]
+
 LINES = "l_orderkey, l_linenumber"
 CENTS = "CAST(round(l_extendedprice * 100) AS bigint)"
 QUOTED = "'"
@@ -564,6 +573,19 @@ def oracle_sql() -> dict[str, str]:
     diffs = ", ".join(f"round(diff_q{q}, 9) AS diff_q{q}" for q in QS)
     o["quantile_fit"] = build(f"SELECT horizon_days, model_key, rows_train, {diffs} FROM f_models", "f_models")
     o["quantile_fit_by_scope"] = build(f"SELECT scope_id, horizon_days, model_key, rows_train, {diffs} FROM s_models", "s_models")
+    o["boosted_ensembles"] = build(
+        "SELECT horizon_days, model_key, q, 250 AS trees, rows_train, rows_train AS least_rows_of_a_tree, rows_train AS most_rows_of_a_tree, "
+        "true AS leaves_large_enough, true AS depth_kept FROM f_models CROSS JOIN (VALUES (0.2e0), (0.5e0), (0.8e0)) q(q)", "f_models")
+    told = "true AS quantiles_in_order, true AS no_worse_than_baseline"
+    o["boosted_calibration"] = build(
+        f"SELECT horizon_days, count(*) FILTER (WHERE is_train) AS rows_train, count(*) FILTER (WHERE NOT is_train) AS rows_test, {told} "
+        "FROM f_split GROUP BY horizon_days", "f_split")
+    o["boosted_save_load"] = build(
+        f"SELECT date, station_id, price, target, true AS same_forecasts, '{FUEL}' AS fuel_col, '0.003' AS waiting_cost FROM f_pred WHERE horizon_days = 7",
+        "f_pred")
+    o["boosted_backtest_folds"] = build(
+        f"SELECT horizon_days, fold_id, rows_train, count(*) AS rows_test, {told} FROM i_pred WHERE horizon_days = 7 "
+        "GROUP BY horizon_days, fold_id, rows_train", "i_pred")
     o["model_save_load"] = build(
         f"SELECT horizon_days, model_key, rows_train, {diffs}, '{FUEL}' AS fuel_col, '0.003' AS waiting_cost FROM f_models", "f_models")
     preds = ", ".join(f"round(pred_q{q}, 9) AS pred_q{q}" for q in QS)
@@ -580,6 +602,18 @@ def oracle_sql() -> dict[str, str]:
     o["predict_latest"] = build(
         f"SELECT date, station_id, price, regime, {preds}, t3 AS target_min_3d, decision, realized_wait_gain, {SAVING} AS policy_realized_saving, oracle_best_action "
         f"FROM ({policy_select(latest + ' WHERE horizon_days = 3', '0.001e0', 't3')}) q", "mrows", "f_eff")
+    o["boosted_predict_latest"] = build(
+        "SELECT date, station_id, price, regime, t3 AS target_min_3d, price - t3 AS realized_wait_gain, "
+        "CASE WHEN price - t3 > 0.001e0 THEN 'wait' ELSE 'buy_now' END AS oracle_best_action, true AS quantiles_in_order, true AS sure_gains_wait "
+        f"FROM ({latest} WHERE horizon_days = 3) q", "mrows", "f_eff")
+    o["impute_medians"] = build(
+        "SELECT * FROM (" + " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, round(median(CAST({c} AS double)), 7) AS median, CAST(NULL AS varchar) AS most_frequent, "
+            f"CASE WHEN count({c}) > 0 THEN count(*) - count({c}) ELSE 0 END AS rows_filled FROM trained" for c in NUMERIC
+        ) + "".join(
+            f" UNION ALL SELECT '{c}', NULL, (SELECT {c} FROM trained WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1), "
+            f"count(*) - count({c}) FROM trained" for c in ("station_id", "regime")
+        ) + ") u", "trained")
     o["latest_gains"] = build(
         "SELECT station_id, decision, round(price - pred_q50, 9) AS expected_gain_q50, round(price - pred_q80, 9) AS probable_gain_q80 "
         f"FROM ({policy_select(latest + ' WHERE horizon_days = 14', '0.001e0', 't14')}) q", "mrows", "f_eff")

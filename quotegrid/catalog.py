@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quotegrid.functions import text as tx
 from quotegrid.functions.frames import rolling, series
+from quotegrid.operators import boosting as bo
 from quotegrid.operators import forecast as fc
 from quotegrid.operators import lookup as lk
 from quotegrid.operators import market as mk
 from quotegrid.operators import panel as pn
 from quotegrid.operators import timeseries as ts
 from quotegrid.operators import upsert as up
-from quotegrid.operators.boosting import BoostingSettings, fit_forecaster, numeric_inputs, preprocessing
 from quotegrid.operators.metrics import forecast_metrics
 from quotegrid.operators.policy import policy_summary, with_gains, with_policy, with_waiting_costs
 from quotegrid.operators.regime import with_regimes
@@ -487,34 +487,109 @@ def forecast_error_measures(spark, d):
     return rounded(forecast_metrics(_predicted(spark, d), "target", ["horizon_days"]), *_MEASURES)
 
 
-BOOSTED_ROUNDS = 5
+def boosted_rows(spark, d) -> DataFrame:
+    """The training frame of all horizons as a table: what the boosted model learns from."""
+    p, s = base(spark, d)
+    frame = training_frame(p, s, FUEL, H).where("is_observed_price = 1")
+    return stage(frame.select("date", "station_id", "regime", *NUMERIC_FEATURES, "ahead"), "boosted-frame")
 
 
 @query
 def impute_medians(spark, d):
-    """Medians that fill missing numbers, from the fitted preprocessing."""
+    """What stands for missing values in each of the 41 features, and how many rows of the frame it fills."""
     p, s = base(spark, d)
-    frame = stage(training_frame(p, s, FUEL, [7]), "boost-frame")
-    numeric = ["price_ffill", "lag_30", "roll_std_30", "price_position_365"]
-    rows = numeric_inputs(frame.where("is_observed_price = 1 and target_available_7d = 1"), numeric)
-    fitted = preprocessing(rows, numeric, ["regime"])
-    out = fitted.transform(rows)
-    return out.select("date", "station_id", *numeric, *[F.col(f"{c}_num") for c in numeric])
+    columns = ["station_id", "regime", *NUMERIC_FEATURES]
+    rows = stage(training_frame(p, s, FUEL, [7]).where("target_available_7d = 1").select(*columns), "impute-rows")
+    fills = bo.fill_values(rows)
+    full = bo.filled(rows, fills)
+    counts = full.agg(*[F.count_if(F.col(c).isNull() & F.col(f"{c}_filled").isNotNull()).alias(f"_{c}") for c in columns])
+    each = fills.crossJoin(F.broadcast(counts)).select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("feature"), (F.lit(None) if c in columns[:2] else F.col(c)).cast("double").alias("median"),
+        (F.col(c) if c in columns[:2] else F.lit(None)).cast("string").alias("most_frequent"), F.col(f"_{c}").alias("rows_filled"),
+    ) for c in columns])).alias("e")).select("e.*")
+    return rounded(each, "median", digits=7)
+
+
+def _boosted_split(spark, d, horizons):
+    rows = fc.eligible(fc.horizon_rows(boosted_rows(spark, d), horizons, columns=bo.BoostedForecaster.columns))
+    return fc.with_split(rows, fc.split_dates(rows, ["horizon_days"]), ["horizon_days"])
 
 
 @query
-def boosted_quantile_predict(spark, d):
-    p, s = base(spark, d)
-    columns = ["date", "station_id", "regime", *NUMERIC_FEATURES, "target_min_7d"]
-    frame = training_frame(p, s, FUEL, [7]).where("is_observed_price = 1 and target_min_7d is not null")
-    rows = stage(frame.select(*columns), "boost-rows")
-    cutoff = fc.split_dates(rows, [], None).select("cutoff").scalar()
-    split = rows.withColumn("_train", F.col("date") <= cutoff)
-    settings = BoostingSettings(rounds=BOOSTED_ROUNDS, learning_rate=0.3)
-    model = fit_forecaster(split.where("_train").drop("_train"), "target_min_7d", settings=settings, per_regime=False)
-    return model.predict(split.where("not _train").drop("_train")).select(
-        "date", "station_id", "price", "target_min_7d", "pred_q20", "pred_q50", "pred_q80"
-    )
+def boosted_ensembles(spark, d):
+    """The full-size model of every horizon, regime and quantile: its trees, and what their leaves hold."""
+    train = _boosted_split(spark, d, H).where("is_train")
+    nodes = bo.BoostedForecaster().fit(train, ["horizon_days"]).nodes
+    start = F.col("tree") == bo.START
+    trees = nodes.groupBy("horizon_days", "model_key", "q", "tree").agg(
+        F.sum("rows").alias("rows"), F.min(F.when(~start, F.col("rows"))).alias("least"), F.max("node").alias("last"))
+    return trees.groupBy("horizon_days", "model_key", "q").agg(
+        F.count_if(~start).alias("trees"), F.max(F.when(start, F.col("rows"))).alias("rows_train"),
+        F.min("rows").alias("least_rows_of_a_tree"), F.max("rows").alias("most_rows_of_a_tree"),
+        (F.min("least") >= 10).alias("leaves_large_enough"), (F.max("last") < 16).alias("depth_kept"))
+
+
+def _against_baseline(boosted, baseline, keys):
+    """Per key: rows, quantiles in order, and whether the boosted model's pinball loss is at most the baseline's."""
+    ordered = F.min((F.col("pred_q20") <= F.col("pred_q50")) & (F.col("pred_q50") <= F.col("pred_q80")))
+    loss = [f"pinball_q{q}" for q in (20, 50, 80)]
+    own = forecast_metrics(boosted, "target", [*keys, "rows_train"]).select(*keys, "rows_train", F.struct(*loss).alias("a"))
+    other = forecast_metrics(baseline, "target", keys).select(*keys, F.struct(*loss).alias("b"))
+    counts = boosted.groupBy(*keys).agg(F.count("*").alias("rows_test"), ordered.alias("quantiles_in_order"))
+    total = lambda c: sum(F.col(f"{c}.{m}") for m in loss)
+    return own.join(other, keys).join(counts, keys).select(
+        *keys, "rows_train", "rows_test", "quantiles_in_order", (total("a") <= total("b")).alias("no_worse_than_baseline"))
+
+
+@query
+def boosted_calibration(spark, d):
+    """Horizons compared with the full-size model, next to the feature-free one on the same split."""
+    rows = stage(fc.horizon_rows(boosted_rows(spark, d), H, columns=bo.BoostedForecaster.columns), "boosted-horizons")
+    boosted = cal.fit_and_test(rows, ["horizon_days"], forecaster=bo.BoostedForecaster())[1]
+    baseline = cal.fit_and_test(rows, ["horizon_days"])[1]
+    return _against_baseline(stage(boosted, "boosted-predictions"), baseline, ["horizon_days"])
+
+
+@query
+def boosted_save_load(spark, d):
+    """A saved and loaded model with its parameters gives the same forecasts, digit by digit."""
+    split = stage(_boosted_split(spark, d, [7]), "boosted-split")
+    models = bo.BoostedForecaster().fit(split.where("is_train"), ["horizon_days"])
+    path = tb.save_boosted(models, {"fuel_col": FUEL, "waiting_cost": 0.003}, working_path(spark, "boosted"))
+    loaded, parameters = tb.load_boosted(spark, path)
+    test = split.where("not is_train").drop("cutoff", "is_train")
+    names = ["pred_q20", "pred_q50", "pred_q80"]
+    before, after = (m.predict(test).select("date", "station_id", "price", "target", F.struct(*names).alias(c))
+                     for m, c in ((models, "before"), (loaded, "after")))
+    return before.join(after.select("date", "station_id", "after"), ["date", "station_id"]).select(
+        "date", "station_id", "price", "target", (F.col("before") == F.col("after")).alias("same_forecasts"),
+        *[F.lit(v).alias(k) for k, v in parameters.items()])
+
+
+@query
+def boosted_backtest_folds(spark, d):
+    """Rolling folds with the full-size model of one horizon, all folds grown together."""
+    days = _calendar(spark, d)
+    folds = bt.index_folds(days, **ROLLING)
+    frame = boosted_rows(spark, d)
+    boosted = stage(bt.backtest_predictions(frame, folds, days, [7], forecaster=bo.BoostedForecaster()), "boosted-backtest")
+    baseline = bt.backtest_predictions(frame, folds, days, [7])
+    return _against_baseline(boosted, baseline, ["horizon_days", "fold_id"])
+
+
+@query
+def boosted_predict_latest(spark, d):
+    """Recommendations of the last day by the full-size model."""
+    frame = boosted_rows(spark, d)
+    boosted = bo.BoostedForecaster()
+    rows = fc.horizon_rows(frame, [3], columns=boosted.columns)
+    models = cal.fit_and_test(rows, ["horizon_days"], forecaster=boosted)[0]
+    out = cal.predict_latest(frame, models, _last_day(spark, d), 3, 0.001, forecaster=boosted)
+    gain = F.col("price") - F.col("pred_q80")
+    return out.select(
+        "date", "station_id", "price", "regime", "target_min_3d", "realized_wait_gain", "oracle_best_action",
+        ((F.col("pred_q20") <= F.col("pred_q50")) & (F.col("pred_q50") <= F.col("pred_q80"))).alias("quantiles_in_order"),
+        ((F.col("decision") == "wait") | (gain <= 0.001)).alias("sure_gains_wait"))
 
 
 # Calibration and backtest --------------------------------------------------------------------

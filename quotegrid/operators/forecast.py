@@ -29,14 +29,17 @@ def grid_side(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return F.broadcast(df) if set(keys) <= GRID_KEYS else df
 
 
-def horizon_rows(frame: DataFrame, horizons: Sequence[int], keys: Sequence[str] = ()) -> DataFrame:
-    """Observed rows, once per horizon: the prices ``ahead`` and the horizon's ``target``.
+def horizon_rows(
+    frame: DataFrame, horizons: Sequence[int], keys: Sequence[str] = (), columns: Sequence[str] = ()
+) -> DataFrame:
+    """Observed rows, once per horizon: the prices ``ahead``, the horizon's ``target``, and further ``columns`` (features).
 
     Observed means that any metric has a value, so the price itself may be missing.
     """
+    taken = dict.fromkeys([*keys, "date", "station_id", "price", "regime", "ahead", *columns])
     return (
         frame.where(F.col("is_observed_price") == 1)
-        .select(*keys, "date", "station_id", "price", "regime", "ahead",
+        .select(*taken,
                 F.explode(F.array(*[F.lit(int(h)) for h in horizons])).alias("horizon_days"))
         .withColumn("target", lowest_ahead(F.col("horizon_days")))
     )
@@ -121,6 +124,29 @@ def predict(
     )
 
 
+class DifferenceForecaster:
+    """The forecaster of this module: no features, one small table of quantiles per key and regime.
+
+    A forecaster names the feature ``columns`` it needs besides price and regime, and has ``fit`` and ``predict``; the plans take any.
+    """
+
+    columns: tuple[str, ...] = ()
+
+    def fit(self, rows: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS_PER_REGIME) -> DataFrame:
+        """Models of rows that are copied per key, or carry ``fold_lo, fold_hi``: then they count in each of these folds."""
+        if "fold_lo" not in rows.columns:
+            return fit(rows, keys, min_rows=min_rows)
+        counts = difference_counts(rows, [*keys, "fold_lo", "fold_hi"])
+        per_fold = (
+            counts.withColumn("fold_id", F.explode(F.sequence("fold_lo", "fold_hi")))
+            .groupBy(*keys, "fold_id", "regime", "diff").agg(F.sum("n").alias("n"))
+        )
+        return fit_counts(per_fold, [*keys, "fold_id"], min_rows=min_rows)
+
+    def predict(self, rows: DataFrame, models: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return predict(rows, models, keys)
+
+
 def split_dates(rows: DataFrame, keys: Sequence[str], train_end=None, share: float = 0.8) -> DataFrame:
     """``keys, n_dates, cutoff``: the given date, or the date at ``share`` of the distinct dates."""
     dates = rows.groupBy(*keys).agg(F.sort_array(F.collect_set("date")).alias("_dates"))

@@ -17,25 +17,28 @@ WAITING_COSTS = (0.001, 0.002, 0.003, 0.005, 0.008)
 
 
 def fit_and_test(
-    rows: DataFrame, keys: Sequence[str], train_end=None, min_rows: int = MIN_ROWS_PER_REGIME
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+    rows: DataFrame, keys: Sequence[str], train_end=None, min_rows: int = MIN_ROWS_PER_REGIME,
+    forecaster=fc.DifferenceForecaster(),
+) -> tuple:
     """Models, forecasts of the test rows, and per key the cutoff with train and test row counts.
 
-    ``rows`` come from :func:`quotegrid.operators.forecast.horizon_rows`.
+    ``rows`` come from :func:`quotegrid.operators.forecast.horizon_rows`, with the columns the ``forecaster`` needs.
     """
     usable = fc.eligible(rows)
     split = fc.with_split(usable, fc.split_dates(usable, keys, train_end), keys)
     train, test = split.where("is_train"), split.where("not is_train")
-    models = fc.fit(train, keys, min_rows=min_rows)
+    models = forecaster.fit(train, keys, min_rows)
     sizes = split.groupBy(*keys, "cutoff").agg(
         F.count_if("is_train").alias("rows_train"), F.count_if(~F.col("is_train")).alias("rows_test")
     )
-    return models, fc.predict(test, models, keys), sizes
+    return models, forecaster.predict(test, models, keys), sizes
 
 
-def backtest_result(rows: DataFrame, keys: Sequence[str], cost: float, train_end=None) -> DataFrame:
+def backtest_result(
+    rows: DataFrame, keys: Sequence[str], cost: float, train_end=None, forecaster=fc.DifferenceForecaster()
+) -> DataFrame:
     """The back-test of a fit: row counts, error measures and policy summary per key."""
-    _, predicted, sizes = fit_and_test(rows, keys, train_end)
+    _, predicted, sizes = fit_and_test(rows, keys, train_end, forecaster=forecaster)
     measured = with_policy(predicted.drop("rows_train", "cutoff"), "target", cost).groupBy(*keys).agg(
         *metric_aggregates("target"), *policy_aggregates()
     ).drop("rows")
@@ -49,10 +52,12 @@ def calibration_table(
     scope: Sequence[str] = (),
     train_end=None,
     min_rows: int = MIN_ROWS_PER_REGIME,
+    forecaster=fc.DifferenceForecaster(),
 ) -> DataFrame:
     """One row per horizon and waiting cost with policy summary, error measures and row counts."""
     keys = [*scope, "horizon_days"]
-    _, predicted, _ = fit_and_test(fc.horizon_rows(frame, horizons, scope), keys, train_end, min_rows)
+    rows = fc.horizon_rows(frame, horizons, scope, forecaster.columns)
+    _, predicted, _ = fit_and_test(rows, keys, train_end, min_rows, forecaster)
     cost = F.col("waiting_cost")
     evaluated = with_policy(with_waiting_costs(predicted, costs), "target", cost)
     return evaluated.groupBy(*keys, "waiting_cost", "rows_train", F.col("cutoff").alias("train_end_date")).agg(
@@ -94,15 +99,16 @@ def latest_rows(frame: DataFrame, last_day: DataFrame) -> DataFrame:
 
 
 def predict_latest(
-    frame: DataFrame, models: DataFrame, last_day: DataFrame, horizon: int, cost: float, scope: Sequence[str] = ()
+    frame: DataFrame, models, last_day: DataFrame, horizon: int, cost: float, scope: Sequence[str] = (),
+    forecaster=fc.DifferenceForecaster(),
 ) -> DataFrame:
     """Recommendations of the last day, in the order decision, price, station."""
     target = f"target_min_{horizon}d"
     rows = latest_rows(frame, last_day).select(
-        *scope, "date", "station_id", "price", "regime",
+        *dict.fromkeys([*scope, "date", "station_id", "price", "regime", *forecaster.columns]),
         lowest_ahead(horizon).alias(target), F.lit(int(horizon)).alias("horizon_days"),
     )
-    predicted = fc.predict(rows, models, [*scope, "horizon_days"]).drop("horizon_days", "rows_train")
+    predicted = forecaster.predict(rows, models, [*scope, "horizon_days"]).drop("horizon_days", "rows_train")
     return with_policy(predicted, target, cost).select(
         *scope, "date", "station_id", "price", "regime", "pred_q20", "pred_q50", "pred_q80", target,
         "decision", "realized_wait_gain", "policy_realized_saving", "oracle_best_action",
@@ -110,12 +116,12 @@ def predict_latest(
 
 
 def latest_by_cost(
-    frame: DataFrame, models: DataFrame, last_day: DataFrame, horizons: Sequence[int], costs: Sequence[float],
-    scope: Sequence[str] = (),
+    frame: DataFrame, models, last_day: DataFrame, horizons: Sequence[int], costs: Sequence[float],
+    scope: Sequence[str] = (), forecaster=fc.DifferenceForecaster(),
 ) -> DataFrame:
     """Recommendations of the last day for every horizon and waiting cost; the future is unknown."""
-    rows = fc.horizon_rows(latest_rows(frame, last_day), horizons, scope).withColumn(
+    rows = fc.horizon_rows(latest_rows(frame, last_day), horizons, scope, forecaster.columns).withColumn(
         "target", F.lit(None).cast("double")
     )
-    predicted = fc.predict(rows, models, [*scope, "horizon_days"]).drop("ahead", "rows_train")
+    predicted = forecaster.predict(rows, models, [*scope, "horizon_days"]).drop("ahead", "rows_train")
     return with_policy(with_waiting_costs(predicted, costs), "target", F.col("waiting_cost"))

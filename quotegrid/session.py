@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -45,3 +46,37 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = working_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class WorkingTables:
+    """Tables of a plan with many steps, which are given up as soon as no later step reads them.
+
+    Spark deletes the shuffle files of a finished step when its driver collects garbage; a step's end is a good
+    moment for that, and without it the files of all steps lie on the executors' disks at once.
+    """
+
+    def __init__(self, name: str):
+        self.name = name
+        self.paths: dict[int, str] = {}
+
+    def keep(self, df: DataFrame, step: str) -> DataFrame:
+        """Write ``df`` to the shared folder and read it back, as :func:`stage` does."""
+        path = working_path(df.sparkSession, f"{self.name}-{step}")
+        df.write.option("compression", "zstd").parquet(path)
+        table = df.sparkSession.read.schema(df.schema).parquet(path)
+        self.paths[id(table)] = path
+        del df
+        sweep(table.sparkSession)
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Empty tables of :meth:`keep` that nothing reads any more."""
+        for table in tables:
+            path = self.paths.pop(id(table))
+            table.sparkSession.createDataFrame([], table.schema).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Let the driver collect what finished steps have left."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
