@@ -255,14 +255,47 @@ def index_folds_sql(min_train, window, step, max_folds):
     )
 
 
+def fold_regimes(prefix):
+    """Regimes of every row as of the end of every fold: each fold's series ends with the fold."""
+    own = ST.replace("station_id", "fold_id, station_id", 1)
+
+    def within(n):
+        return f"({own} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+
+    c = {}
+    c[f"{prefix}scales"] = (["deltas", f"{prefix}folds"], (
+        f"SELECT a.*, f.fold_id, list_sort(list(abs(delta_1)) FILTER (WHERE delta_1 IS NOT NULL) OVER {within(60)}) AS recent, "
+        "median(abs(delta_1)) OVER (PARTITION BY fold_id, station_id) AS whole "
+        f"FROM deltas a JOIN {prefix}folds f ON a.date <= f.test_end"
+    ))
+    c[f"{prefix}flagged"] = ([f"{prefix}scales"], (
+        "SELECT *, CASE WHEN robust_scale IS NOT NULL AND delta_1 >= greatest(0.015e0, 3e0 * robust_scale) THEN 1 ELSE 0 END AS cycle_reset_flag, "
+        "CASE WHEN robust_scale IS NOT NULL THEN greatest(0.025e0, 4e0 * robust_scale) END AS shock FROM ("
+        "SELECT * EXCLUDE (recent, whole), CASE WHEN len(recent) >= 10 THEN (recent[(len(recent) + 1) // 2] + recent[len(recent) // 2 + 1]) / 2 "
+        f"ELSE whole END AS robust_scale FROM {prefix}scales) s"
+    ))
+    c[f"{prefix}regimes"] = ([f"{prefix}flagged"], (
+        "SELECT fold_id, station_id, date, CASE WHEN delta_3 >= shock THEN 'shock_up' WHEN delta_3 <= -shock THEN 'shock_down' "
+        "WHEN resets >= 2 THEN 'cyclical' ELSE 'stable' END AS regime FROM ("
+        f"SELECT *, sum(cycle_reset_flag) OVER {within(90)} AS resets FROM {prefix}flagged) r"
+    ))
+    return c
+
+
 def backtest_ctes(prefix, folds_sql, folds_deps, own_horizons, truncate):
     on = "a.horizon_days = b.horizon_days" if own_horizons else "true"
     seen = "least(a.horizon_days, date_diff('day', a.date, b.test_end))" if truncate else "a.horizon_days"
     label = f"CASE WHEN {seen} > 0 THEN list_aggregate(a.ahead[1:{seen}], 'min') END"
     c = {f"{prefix}folds": (folds_deps, folds_sql)}
-    c[f"{prefix}all"] = (["lrows", f"{prefix}folds"], (
-        f"SELECT a.date, a.station_id, a.horizon_days, a.price, a.regime, b.fold_id, a.date <= b.train_end AS is_train, {label} AS target "
-        f"FROM lrows a JOIN {prefix}folds b ON {on} AND (a.date <= b.train_end OR a.date BETWEEN b.test_start AND b.test_end)"
+    regime, look_up, needs = "a.regime", "", []
+    if truncate:
+        c.update(fold_regimes(prefix))
+        needs = [f"{prefix}regimes"]
+        regime = "g.regime"
+        look_up = f" JOIN {prefix}regimes g ON g.fold_id = b.fold_id AND g.station_id = a.station_id AND g.date = a.date"
+    c[f"{prefix}all"] = (["lrows", f"{prefix}folds", *needs], (
+        f"SELECT a.date, a.station_id, a.horizon_days, a.price, {regime} AS regime, b.fold_id, a.date <= b.train_end AS is_train, {label} AS target "
+        f"FROM lrows a JOIN {prefix}folds b ON {on} AND (a.date <= b.train_end OR a.date BETWEEN b.test_start AND b.test_end){look_up}"
     ))
     keys = ["horizon_days", "fold_id"]
     c[f"{prefix}rows"] = ([f"{prefix}all"], f"SELECT * FROM {prefix}all WHERE target IS NOT NULL")

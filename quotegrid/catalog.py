@@ -84,14 +84,14 @@ def filled(spark, d) -> DataFrame:
     return ts.with_filled_price(dense(spark, d))
 
 
-def model_rows(spark, d, scope=()) -> DataFrame:
+def model_rows(spark, d, scope=(), ends=()) -> DataFrame:
     p, s = base(spark, d)
-    return model_frame(p, s, FUEL, max(H), scope=scope)
+    return model_frame(p, s, FUEL, max(H), scope=scope, ends=ends)
 
 
-def staged_rows(spark, d, scope=()) -> DataFrame:
+def staged_rows(spark, d, scope=(), ends=()) -> DataFrame:
     """Model rows as a table, for plans that read them more than once."""
-    return stage(model_rows(spark, d, scope), "model-rows")
+    return stage(model_rows(spark, d, scope, ends), "model-rows")
 
 
 # Panel ---------------------------------------------------------------------------------------
@@ -487,11 +487,12 @@ def forecast_error_measures(spark, d):
     return rounded(forecast_metrics(_predicted(spark, d), "target", ["horizon_days"]), *_MEASURES)
 
 
-def boosted_rows(spark, d) -> DataFrame:
+def boosted_rows(spark, d, ends=()) -> DataFrame:
     """The training frame of all horizons as a table: what the boosted model learns from."""
     p, s = base(spark, d)
-    frame = training_frame(p, s, FUEL, H).where("is_observed_price = 1")
-    return stage(frame.select("date", "station_id", "regime", *NUMERIC_FEATURES, "ahead"), "boosted-frame")
+    frame = training_frame(p, s, FUEL, H, ends=ends).where("is_observed_price = 1")
+    states = ["by_end"] if ends else []
+    return stage(frame.select("date", "station_id", "regime", *NUMERIC_FEATURES, "ahead", *states), "boosted-frame")
 
 
 @query
@@ -571,7 +572,7 @@ def boosted_backtest_folds(spark, d):
     """Rolling folds with the full-size model of one horizon, all folds grown together."""
     days = _calendar(spark, d)
     folds = bt.index_folds(days, **ROLLING)
-    frame = boosted_rows(spark, d)
+    frame = boosted_rows(spark, d, bt.fold_ends(folds))
     boosted = stage(bt.backtest_predictions(frame, folds, days, [7], forecaster=bo.BoostedForecaster()), "boosted-backtest")
     baseline = bt.backtest_predictions(frame, folds, days, [7])
     return _against_baseline(boosted, baseline, ["horizon_days", "fold_id"])
@@ -653,8 +654,8 @@ def fold_membership(spark, d):
 def _index_backtest(spark, d, **folds_as):
     days = _calendar(spark, d)
     folds = bt.index_folds(days, **{**ROLLING, **folds_as})
-    predicted = bt.backtest_predictions(staged_rows(spark, d), folds, days, H, truncate=True)
-    return predicted, folds
+    rows = staged_rows(spark, d, ends=bt.fold_ends(folds))
+    return bt.backtest_predictions(rows, folds, days, H, truncate=True), folds
 
 
 def _calendar_backtest(spark, d):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -27,6 +28,7 @@ def with_regimes(
     rules: RegimeRules = RegimeRules(),
     keys: Sequence[str] = STATION,
     alongside: Sequence[dict[str, Column]] = ({}, {}, {}),
+    ends: Sequence[date] = (),
 ) -> DataFrame:
     """Deltas, 14-day rolling statistics, reset flags and counts, and the regime.
 
@@ -36,6 +38,10 @@ def with_regimes(
 
     ``alongside`` adds window columns of the same series to the first, second and last window pass;
     those of a pass may use the columns of the passes before it.
+
+    ``ends`` adds ``by_end``: per end the row's regime, days since a reset and recent resets as they are when the series ends
+    on that day, so that no row knows later ones. Only the median of the whole series depends on its end: it is taken once per end, and
+    flags, counts and regimes follow from it in the same passes.
     """
     first, second, last_pass = alongside
     w = series(keys)
@@ -48,35 +54,43 @@ def with_regimes(
 
     scaled = with_deltas.withColumns({"_values": recent_values("_abs_delta", 60, keys), **second})
     scaled = scaled.withColumn("_recent", median_of("_values", 10)).drop("_values")
-    if rules.scale_fallback == "series":
-        whole = F.expr("percentile(_abs_delta, 0.5)").over(Window.partitionBy(*keys))
-        scaled = scaled.withColumn("robust_scale", F.coalesce("_recent", whole))
-    else:
-        scaled = scaled.withColumn("robust_scale", F.col("_recent"))
+    keeps = rules.scale_fallback == "series"
+    # Of the series up to each end, and of the whole series at last.
+    cut = [F.when(F.col("date") <= F.lit(e), F.col("_abs_delta")) for e in ends] + [F.col("_abs_delta")]
+    whole = [F.percentile(c, F.lit(0.5)).over(Window.partitionBy(*keys)) if keeps else F.lit(None).cast("double") for c in cut]
+    scaled = scaled.withColumn("_scales", F.array(*[F.coalesce("_recent", m) for m in whole]))
+    scale = [F.get("_scales", F.lit(i)) for i in range(len(cut))]
 
-    # A missing scale makes the thresholds missing too; greatest() alone would skip it.
-    known = F.col("robust_scale").isNotNull()
-    reset_at = F.when(known, F.greatest(F.lit(rules.min_reset_jump), 3.0 * F.col("robust_scale")))
-    shock_at = F.when(known, F.greatest(F.lit(rules.shock_abs_threshold), 4.0 * F.col("robust_scale")))
-    flag = F.when(F.col("delta_1") >= reset_at, 1).otherwise(0)
-    flagged = scaled.withColumn("cycle_reset_flag", flag)
+    def at_least(least: float, times: float) -> list[Column]:
+        """A missing scale makes the thresholds missing too; greatest() alone would skip it."""
+        return [F.when(m.isNotNull(), F.greatest(F.lit(least), times * m)) for m in scale]
 
+    reset_at = at_least(rules.min_reset_jump, 3.0)
+    flagged = scaled.withColumn("_flags", F.array(*[F.when(F.col("delta_1") >= r, 1).otherwise(0) for r in reset_at]))
+    flag = [F.get("_flags", F.lit(i)) for i in range(len(cut))]
     counted = flagged.withColumns({
-        "_resets": F.sum("cycle_reset_flag").over(so_far(keys)),
-        "_last_reset": F.last(
-            F.when(F.col("cycle_reset_flag") == 1, F.col("date")), ignorenulls=True
-        ).over(so_far(keys)),
+        "_resets": F.array(*[F.sum(f).over(so_far(keys)) for f in flag]),
+        "_last_reset": F.array(*[
+            F.last(F.when(f == 1, F.col("date")), ignorenulls=True).over(so_far(keys)) for f in flag]),
     })
-    earlier = F.coalesce(F.lag("_resets", rules.cyclical_resets_window).over(w), F.lit(0))
     recent = counted.withColumns({
-        "recent_resets_90": F.col("_resets") - earlier,
-        "days_since_reset": F.coalesce(F.datediff("date", "_last_reset"), F.lit(999)),
-        **last_pass,
+        "_earlier": F.lag("_resets", rules.cyclical_resets_window).over(w), **last_pass,
+    })
+    states = []
+    for i, shock_at in enumerate(at_least(rules.shock_abs_threshold, 4.0)):
+        resets = F.get("_resets", F.lit(i)) - F.coalesce(F.get("_earlier", F.lit(i)), F.lit(0))
+        regime = (
+            F.when(F.col("delta_3") >= shock_at, "shock_up")
+            .when(F.col("delta_3") <= -shock_at, "shock_down")
+            .when(resets >= rules.min_resets_for_cyclical, "cyclical")
+            .otherwise("stable")
+        )
+        since = F.coalesce(F.datediff("date", F.get("_last_reset", F.lit(i))), F.lit(999))
+        states.append(F.struct(regime.alias("regime"), since.alias("days_since_reset"), resets.alias("recent_resets_90")))
+    last = len(ends)
+    out = recent.withColumns({
+        "robust_scale": scale[last], "cycle_reset_flag": flag[last], "_state": states[last],
+        **({"by_end": F.array(*states[:last])} if ends else {}),
     })
-    regime = (
-        F.when(F.col("delta_3") >= shock_at, "shock_up")
-        .when(F.col("delta_3") <= -shock_at, "shock_down")
-        .when(F.col("recent_resets_90") >= rules.min_resets_for_cyclical, "cyclical")
-        .otherwise("stable")
-    )
-    return recent.withColumn("regime", regime).drop("_abs_delta", "_recent", "_resets", "_last_reset")
+    return out.withColumns({c: F.col(f"_state.{c}") for c in ("recent_resets_90", "days_since_reset", "regime")}).drop(
+        "_abs_delta", "_recent", "_scales", "_flags", "_resets", "_earlier", "_last_reset", "_state")

@@ -24,6 +24,7 @@ def features(
     market: DataFrame | None = None,
     rules: RegimeRules = RegimeRules(),
     keep: Sequence[str] = (),
+    ends: Sequence = (),
 ) -> DataFrame:
     """Features, regime and targets of one metric on a panel with one row per day and station.
 
@@ -55,7 +56,7 @@ def features(
         {"days_since_observed": ts.observed_count(), **extremes.blocks()},
         extremes.combined(*ts.YEAR),
         {**ts.lag_columns(), **ts.rolling_columns(), "ahead": ts.future_prices("price", max(horizons))},
-    )).drop(*extremes.HELPERS)
+    ), ends=ends).drop(*extremes.HELPERS)
     frame = frame.withColumns({**ts.change_columns(), "price_position_365": ts.price_position()})
     frame = mk.with_spreads(mk.with_market(frame, market, day))
     frame = frame.withColumns({**ts.calendar_columns(), **ts.target_columns(horizons)})
@@ -82,21 +83,22 @@ def model_frame(
     scope: Sequence[str] = (),
     fill_limit: int = 3,
     rules: RegimeRules = RegimeRules(),
+    ends: Sequence = (),
 ) -> DataFrame:
     """What the quantile forecaster learns from: observed rows with price, regime and prices ahead.
 
     The same columns as in :func:`training_frame`, without the market and rank features the
-    forecaster does not use, so without their shuffles.
+    forecaster does not use, so without their shuffles. ``ends``: see :func:`quotegrid.operators.regime.with_regimes`.
     """
     panel = expand_calendar(
         _sparse(prices, metric), stations, fetch_log, start, end, scope, [metric, "is_observed_price"]
     ).withColumnRenamed(metric, "price")
     frame = with_regimes(
         ts.with_filled_price(panel, "price", fill_limit), "price_ffill", rules,
-        alongside=({}, {}, {"ahead": ts.future_prices("price", furthest)}),
+        alongside=({}, {}, {"ahead": ts.future_prices("price", furthest)}), ends=ends,
     )
     return frame.where(F.col("is_observed_price") == 1).select(
-        *scope, "date", "station_id", "price", "is_observed_price", "regime", "ahead"
+        *scope, "date", "station_id", "price", "is_observed_price", "regime", "ahead", *(["by_end"] if ends else [])
     )
 
 
@@ -111,6 +113,7 @@ def training_frame(
     scope: Sequence[str] = (),
     fill_limit: int = 3,
     rules: RegimeRules = RegimeRules(),
+    ends: Sequence = (),
 ) -> DataFrame:
     """:func:`features` straight from the base tables.
 
@@ -123,4 +126,4 @@ def training_frame(
     )
     known = rows.join(stations.select("station_id", *scope), "station_id")
     market = mk.market_stats(in_range(known, start, end).withColumnRenamed(metric, "price"), "price", [*scope, "date"])
-    return features(panel, metric, horizons, fill_limit, scope, market, rules)
+    return features(panel, metric, horizons, fill_limit, scope, market, rules, ends=ends)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from quotegrid.functions import text as tx
 from quotegrid.operators import upsert as up
-from quotegrid.operators.boosting import BoostingSettings, fit_booster
 from quotegrid.schema import column_name
 from quotegrid.sources import feed
 from quotegrid.sources import tables as tb
@@ -138,18 +137,3 @@ def test_a_run_broken_off_goes_on_with_its_snapshot(spark, tmp_path):
     assert ig.current_table(spark, store, "prices").count() == 6
     entry = ig.current_fetch_log(spark, store).collect()
     assert [(r["status"], r["records_count"]) for r in entry] == [("fetched", 6)] and ig.open_run(spark, store) == run + 1
-
-
-def test_boosting_beats_a_constant(spark):
-    from pyspark.ml.feature import VectorAssembler
-
-    df = spark.range(2000).select((F.col("id") % 20).cast("double").alias("x"), (F.hash("id") % 100 / 1000).alias("noise"))
-    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(df.withColumn("y", F.sin("x") + F.col("noise")))
-    booster = fit_booster(df, "y", 0.8, BoostingSettings(rounds=6, learning_rate=0.5, checkpoint_every=3))
-
-    def loss(prediction):
-        e = F.col("y") - prediction
-        return df_out.agg(F.avg(F.when(e >= 0, 0.8 * e).otherwise(-0.2 * e))).head()[0]
-
-    df_out = booster.transform(df, "pred")
-    assert loss(F.col("pred")) < 0.5 * loss(F.lit(booster.start))
