@@ -6,6 +6,8 @@ where it shares them between folds.
 
 from __future__ import annotations
 
+import re
+
 METRICS = [
     "precio_gasoleo_a", "precio_gasoleo_b", "precio_gasoleo_premium", "precio_gasolina_95_e5",
     "precio_gasolina_95_e10", "precio_gasolina_95_e5_premium", "precio_gasolina_98_e5", "precio_gasolina_98_e10",
@@ -119,10 +121,11 @@ CTES: dict[str, tuple[list[str], str]] = {
             f"min(price) OVER ({ST} ROWS BETWEEN 1 FOLLOWING AND {h} FOLLOWING) AS t{h}" for h in H
         ) + ", [" + ", ".join(f"lead(price, {k} ) OVER ({ST})" for k in range(1, 15)) + "] AS ahead FROM dense"
     )),
-    "mrows": (["regimes", "futures"], (
+    "seen": (["regimes", "futures"], (
         "SELECT r.date, r.station_id, r.scope_id, r.price, r.regime, t3, t5, t7, t10, t14, ahead FROM regimes r "
-        "JOIN futures f ON r.date = f.date AND r.station_id = f.station_id WHERE is_observed_price = 1 AND price IS NOT NULL"
+        "JOIN futures f ON r.date = f.date AND r.station_id = f.station_id WHERE is_observed_price = 1"
     )),
+    "mrows": (["seen"], "SELECT * FROM seen WHERE price IS NOT NULL"),
     "lrows": (["mrows"], " UNION ALL ".join(
         f"SELECT date, station_id, scope_id, price, regime, ahead, {h} AS horizon_days, t{h} AS target FROM mrows" for h in H
     )),
@@ -355,11 +358,11 @@ CTES["candidates"] = (["s_calibration", "production"], (
     "avg_policy_realized_saving, decision_accuracy_vs_oracle FROM (SELECT *, row_number() OVER (PARTITION BY scope_id ORDER BY "
     + RANK.format("avg_policy_realized_saving") + ") AS position FROM s_calibration) c JOIN production p ON c.scope_id = p.scope_id WHERE position = 1"
 ))
-CTES["daily"] = (["s_eff", "mrows", "stations", "prices"], (
+CTES["daily"] = (["s_eff", "seen", "stations", "prices"], (
     policy_select(
         "SELECT * EXCLUDE (p), p[1] AS pred_q20, p[2] AS pred_q50, p[3] AS pred_q80 FROM (SELECT a.scope_id, "
         f"'{FUEL}' AS fuel_col, a.date, a.station_id, a.price, a.regime, a.t3 AS target, "
-        "list_sort([a.price + diff_q20, a.price + diff_q50, a.price + diff_q80]) AS p FROM mrows a "
+        "list_sort([a.price + diff_q20, a.price + diff_q50, a.price + diff_q80]) AS p FROM seen a "
         "JOIN (SELECT scope_id, max(date) AS date FROM prices JOIN stations USING (station_id) GROUP BY scope_id) l "
         "ON a.scope_id = l.scope_id AND a.date = l.date "
         "JOIN s_eff b ON a.scope_id = b.scope_id AND b.horizon_days = 3 AND b.regime = a.regime) z", "0.001e0")
@@ -373,6 +376,29 @@ CTES["daily_summary"] = (["daily"], (
 ))
 
 
+def of_fuel(prefix, fuel, horizon, cost):
+    """The chain up to the daily run for another fuel: the same SQL under names of its own."""
+    chain = ["dense", "filled", "deltas", "scales", "scaled", "flagged", "regimes", "futures", "seen", "mrows", "lrows", "erows", "s_cut",
+             "s_split", "s_sorted", "s_models", "s_eff", "daily", "daily_summary"]
+    ours = re.compile(r"\b(" + "|".join(chain) + r")\b")
+
+    def renamed(text):
+        return ours.sub(lambda m: prefix + m.group(1), text)
+
+    for name in chain:
+        deps, text = CTES[name]
+        text = renamed(text)
+        if name == "dense":
+            text = text.replace(f"prices.{FUEL} AS price", f"prices.{fuel} AS price")
+        text = text.replace(f"'{FUEL}'", f"'{fuel}'")
+        if name == "daily":
+            text = text.replace("a.t3", f"a.t{horizon}").replace("b.horizon_days = 3", f"b.horizon_days = {horizon}").replace("0.001e0", cost)
+        CTES[prefix + name] = ([prefix + x if x in chain else x for x in deps], text)
+
+
+of_fuel("x_", METRICS[3], 7, "0.002e0")
+
+
 def build(final: str, *names: str) -> str:
     """The final SELECT behind the WITH list of everything it builds on."""
     order: list[str] = []
@@ -707,6 +733,26 @@ def oracle_sql() -> dict[str, str]:
         + ") f) g CROSS JOIN " + COST_ROWS + f" WHERE fuel_col <> '{FUEL}' OR waiting_cost <= 0.002e0", "prices")
     o["daily_run_latest"] = build(
         f"SELECT scope_id, fuel_col, date, station_id, price, regime, target, {preds}, decision, realized_wait_gain, {SAVING} AS policy_realized_saving, oracle_best_action FROM daily", "daily")
+    both = " UNION ALL ".join(
+        f"SELECT scope_id, fuel_col, date, station_id, price, regime, target, {preds}, decision, realized_wait_gain, {SAVING} AS policy_realized_saving, "
+        f"oracle_best_action, 0 AS failed_pairs FROM {t}" for t in ("daily", "x_daily"))
+    o["daily_run_all_fuels"] = build(both, "daily", "x_daily")
+    o["published_feed"] = build(
+        "SELECT scope_id, fuel_col, 1 AS version, count(*) OVER () AS documents, horizon_days, waiting_cost, recommendation, n_stations, n_buy_now, n_wait, "
+        "n_stations AS station_lines, true AS artifact_found FROM ("
+        "SELECT *, 3 AS horizon_days, 0.001e0 AS waiting_cost FROM daily_summary UNION ALL SELECT *, 7, 0.002e0 FROM x_daily_summary) u",
+        "daily_summary", "x_daily_summary")
+    o["promotion_from_policy"] = build(
+        "SELECT scope_id, fuel_col, CAST(CASE WHEN reasons = '' THEN horizon_days ELSE 3 END AS integer) AS horizon_days, "
+        "CASE WHEN reasons = '' THEN waiting_cost ELSE 0.001e0 END AS waiting_cost, "
+        "CASE WHEN reasons = '' THEN 'v' || CAST(CAST(substr(current_version, 2) AS integer) + 1 AS varchar) ELSE current_version END AS version, reasons, "
+        "CASE WHEN reasons = '' THEN 'promoted' ELSE 'refused' END AS first_outcome, CASE WHEN reasons = '' THEN 'stale' ELSE 'refused' END AS second_outcome "
+        "FROM (SELECT c.*, concat_ws(',', CASE WHEN NOT c.share_wait BETWEEN 0.1e0 AND 0.6e0 THEN 'share_wait_out_of_range' END, "
+        "CASE WHEN c.avg_policy_realized_saving IS NULL THEN 'missing_saving' END, CASE WHEN c.decision_accuracy_vs_oracle IS NULL THEN 'missing_accuracy' END, "
+        "CASE WHEN c.avg_policy_realized_saving < s.avg_policy_realized_saving * (1 + 0.05e0) THEN 'saving_gain_too_small' END, "
+        "CASE WHEN c.decision_accuracy_vs_oracle < s.decision_accuracy_vs_oracle - 0.02e0 THEN 'accuracy_drop_too_large' END) AS reasons "
+        "FROM candidates c LEFT JOIN s_calibration s ON s.scope_id = c.scope_id AND s.horizon_days = 3 AND s.waiting_cost = 0.001e0) q",
+        "candidates", "s_calibration")
     o["publish_summary"] = build("SELECT * FROM daily_summary", "daily_summary")
     o["publish_payload_stations"] = build(
         "SELECT d.scope_id, s.recommendation, s.n_stations, station_id, price, decision FROM daily d JOIN daily_summary s ON d.scope_id = s.scope_id", "daily", "daily_summary")
@@ -791,6 +837,12 @@ def oracle_sql() -> dict[str, str]:
         "ON p.date = d.date AND p.station_id = s.station_id", "days", "prices", "stations")
     o["collect_then_export"] = build(f"SELECT date, station_id, {ALL}, 1 AS is_observed_price FROM prices", "prices")
     # Jobs that write what another query returns, and read it back.
+    saving = "round(sum(avg_policy_realized_saving) + 1e-12, 6)"
+    o["experiment_store"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS rows, CAST({total} AS double) AS total FROM ({o[same]}) t{i}" for i, (name, same, total) in enumerate((
+            ("calibration", "calibration_table", saving), ("calibration_failures", "calibration_failures", "NULL"),
+            ("rolling_summary", "rolling_backtest_summary", saving), ("rolling_folds", "rolling_backtest_folds", "round(sum(mae_q50) + 1e-12, 6)"),
+            ("latest_best", "best_config", saving)))) + " UNION ALL SELECT 'rolling_failures', 0, NULL"
     for job, same in {
         "dataset_export_panel": "station_panel", "dataset_export_daily": "daily_summary",
         "experiment_tables_roundtrip": "calibration_table", "latest_table_roundtrip": "daily_run_latest",

@@ -836,6 +836,87 @@ def publish_payload_json(spark, d):
         "p.scope_id", "p.fuel_col", "p.model.horizon_days", "p.model.waiting_cost", "p.summary.*")
 
 
+SECOND_FUEL = METRICS[3]
+
+
+def _production_of_fuels(spark, d):
+    """Production rows of two fuels per scope, each with a horizon and waiting cost of its own."""
+    own = _production(spark, d)
+    other = own.withColumns({"fuel_col": F.lit(SECOND_FUEL), "horizon_days": F.lit(7), "waiting_cost": F.lit(0.002)})
+    return own.unionByName(other)
+
+
+def _daily_of_fuels(spark, d):
+    p, s = base(spark, d)
+    scopes = s.select("scope_id", "municipality", "province").distinct()
+    return daily_run(p, s, scopes, _production_of_fuels(spark, d), generated_at="2002-01-01T00:00:00+00:00", stage=stage)
+
+
+@query
+def daily_run_all_fuels(spark, d):
+    """Recommendations of the last day for every scope and fuel, with the pairs that cannot be fitted counted beside them."""
+    run = _daily_of_fuels(spark, d)
+    out = run.latest.join(F.broadcast(run.failures.agg(F.count("*").alias("failed_pairs"))), F.lit(True))
+    return rounded(out, "pred_q20", "pred_q50", "pred_q80")
+
+
+@query
+def published_feed(spark, d):
+    """Two versions begun, one of them completed: readers see the feed, documents and station lines of that one."""
+    run, folder = _daily_of_fuels(spark, d), working_path(spark, "published")
+    pub.write_version(run.payloads, run.stations, folder, 1)
+    pub.commit_version(spark, folder, 1, "2002-01-01T00:00:00+00:00")
+    pub.write_version(run.payloads.limit(1), run.stations.limit(1), folder, 2)  # broken off before it is named
+    newest = pub.published_version(spark, folder)
+    summary = "summary struct<recommendation:string,n_stations:bigint,n_buy_now:bigint,n_wait:bigint>"
+    document = f"model struct<horizon_days:int,waiting_cost:double>, {summary}, artifacts struct<stations:string>"
+    feed = pub.read_published(spark, folder, "feed").select("scope_id", "fuel_col", F.from_json("payload", document).alias("p"))
+    lines = pub.read_published(spark, folder, "stations").withColumn(
+        "path", F.regexp_extract(F.input_file_name(), r"v1/(stations/scope_id=[^/]+/fuel_col=[^/]+)", 1))
+    lines = lines.groupBy("scope_id", "fuel_col").agg(F.count("*").alias("station_lines"), F.first("path").alias("path"))
+    return feed.join(lines, ["scope_id", "fuel_col"]).select(
+        "scope_id", "fuel_col", F.lit(newest["version"]).alias("version"), F.lit(newest["documents"]).alias("documents"),
+        "p.model.horizon_days", "p.model.waiting_cost", "p.summary.recommendation", "p.summary.n_stations", "p.summary.n_buy_now",
+        "p.summary.n_wait", "station_lines", (F.col("path") == F.col("p.artifacts.stations")).alias("artifact_found"))
+
+
+def _config_folder(spark, d) -> str:
+    """Scopes, production and policy as configuration documents."""
+    folder = working_path(spark, "config")
+    scopes = star.stations(spark, d).select("scope_id", "municipality", "province").distinct()
+    rows = {"scopes": scopes, "models": _production(spark, d)}
+    for name, df in rows.items():
+        df.agg(F.to_json(F.struct(F.collect_list(F.struct(*df.columns)).alias(name))).alias("value")).write.text(f"{folder}/{name}")
+    policy = F.struct(F.array(F.lit(0.1), F.lit(0.6)).alias("share_wait_between"), F.lit(0.05).alias("min_relative_gain_saving"),
+                      F.lit(0.02).alias("max_accuracy_drop"))
+    spark.range(1).select(F.to_json(F.struct(policy.alias("promote_if"))).alias("value")).write.text(f"{folder}/policy")
+    return folder
+
+
+@query
+def promotion_from_policy(spark, d):
+    """Scopes, production and policy read from files; candidates judged against what is in production; a second, stale
+    round of the same candidates is turned away by the versions."""
+    config, store = _config_folder(spark, d), working_path(spark, "production")
+    scopes, policy = tb.read_scopes(spark, f"{config}/scopes"), tb.read_promotion_policy(spark, f"{config}/policy").first()
+    production = tb.read_production(spark, f"{config}/models").join(scopes.select("scope_id"), "scope_id", "left_semi")
+    sel.append_production(production, store)
+    table = stage(rounded(cal.calibration_table(staged_rows(spark, d, ["scope_id"]), scope=["scope_id"]), *_MEASURES, *_POLICY), "calibration")
+    best = sel.best_configs(table, keys=["scope_id"])
+    candidates = sel.candidates(best.withColumn("fuel_col", F.lit(FUEL)), sel.current_production(spark, store), AS_OF, "run-1")
+    now = production.select("scope_id", "fuel_col", "horizon_days", "waiting_cost").join(table, ["scope_id", "horizon_days", "waiting_cost"]).select(
+        "scope_id", "fuel_col", F.col("avg_policy_realized_saving").alias("current_saving"),
+        F.col("decision_accuracy_vs_oracle").alias("current_accuracy"))
+    gated = stage(sel.promotion_gate(
+        candidates, tuple(policy["share_wait_between"]), policy["min_relative_gain_saving"], policy["max_accuracy_drop"], now), "gated")
+    first = sel.promote_if_current(spark, store, gated).withColumnRenamed("outcome", "first_outcome")
+    second = sel.promote_if_current(spark, store, gated).withColumnRenamed("outcome", "second_outcome")
+    pair = ["scope_id", "fuel_col"]
+    return sel.current_production(spark, store).join(gated.select(*pair, F.array_join("reasons", ",").alias("reasons")), pair).join(
+        first, pair).join(second, pair).select(
+        *pair, "horizon_days", "waiting_cost", "version", "reasons", "first_outcome", "second_outcome")
+
+
 @query
 def json_null_clean(spark, d):
     """Values that JSON cannot hold, through the document and back."""
@@ -1217,8 +1298,38 @@ def collect_then_export(spark, d):
 @query
 def experiment_tables_roundtrip(spark, d):
     table = cal.calibration_table(staged_rows(spark, d))
-    paths = tb.write_results({"calibration": table}, working_path(spark, "experiments"), "run-1")
-    return rounded(spark.read.parquet(paths["calibration"]), *_MEASURES, *_POLICY)
+    folder = working_path(spark, "experiments")
+    tb.write_results({"calibration": table}, folder, "run-1")
+    return rounded(tb.read_results(spark, folder, "calibration"), *_MEASURES, *_POLICY)
+
+
+@query
+def experiment_store(spark, d):
+    """All six tables of a calibration and rolling backtest, of two runs and one broken off; what a reader finds of the last whole run."""
+    folder = working_path(spark, "experiments")
+    predicted, folds = _index_backtest(spark, d)
+    predicted = stage(predicted, "store-predictions")
+    metrics, policy = bt.fold_metrics(predicted, folds), bt.fold_policy(predicted, COSTS)
+    rows = staged_rows(spark, d)
+    calibration, summary = cal.calibration_table(rows), bt.rolling_summary(metrics, policy)
+    tables = {
+        "calibration": calibration, "calibration_failures": cal.calibration_failures(rows, H, train_end="2001-11-03"),
+        "rolling_summary": summary, "rolling_folds": metrics, "rolling_failures": bt.backtest_failures(folds, metrics, H),
+        "latest_best": sel.best_configs(calibration, summary),
+    }
+    tb.write_results({"calibration": calibration.limit(1)}, folder, "run-1")
+    tb.write_results(tables, folder, "run-2")
+    metrics.limit(2).write.parquet(f"{folder}/rolling_folds/run_id=run-3")  # broken off: not in the registry
+    saving = "avg_policy_realized_saving"
+    parts = []
+    for name in tables:
+        found = tb.read_results(spark, folder, name)
+        value = F.sum(saving) if saving in found.columns else F.sum("mae_q50") if "mae_q50" in found.columns else F.lit(None).cast("double")
+        parts.append(found.agg(F.count("*").alias("rows"), value.alias("total")).select(F.lit(name).alias("name"), "rows", "total"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return rounded(out, "total", digits=6)
 
 
 @query

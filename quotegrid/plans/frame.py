@@ -93,15 +93,55 @@ def model_frame(
     panel = expand_calendar(
         _sparse(prices, metric), stations, fetch_log, start, end, scope, [metric, "is_observed_price"]
     ).withColumnRenamed(metric, "price")
+    return _model_rows(panel, furthest, scope, fill_limit, rules, ends)
+
+
+def _model_rows(panel: DataFrame, furthest: int, keep: Sequence[str], fill_limit: int, rules: RegimeRules, ends: Sequence = ()) -> DataFrame:
     frame = with_regimes(
         ts.with_filled_price(panel, "price", fill_limit), "price_ffill", rules,
         alongside=({}, {}, {"ahead": ts.future_prices("price", furthest)}), ends=ends,
     )
     return frame.where(F.col("is_observed_price") == 1).select(
-        *scope, "date", "station_id", "price", "is_observed_price", "regime", "ahead", *(["by_end"] if ends else [])
+        *keep, "date", "station_id", "price", "is_observed_price", "regime", "ahead", *(["by_end"] if ends else [])
     )
 
 
+def fuel_frame(
+    prices: DataFrame,
+    stations: DataFrame,
+    pairs: DataFrame,
+    horizons: Sequence[int],
+    fetch_log: DataFrame | None = None,
+    wide: bool = False,
+    fill_limit: int = 3,
+    rules: RegimeRules = RegimeRules(),
+) -> DataFrame:
+    """Observed rows of every (scope_id, fuel_col) in ``pairs``, as :func:`model_frame` gives them, or with all features if ``wide``.
+
+    The prices are scanned once and melted to one row per quote and fuel; a series is one station's prices of one fuel, so
+    fuels are worked on side by side and no series is longer than the calendar. Markets are those of a scope and fuel.
+    """
+    fuels = [r[0] for r in pairs.select("fuel_col").distinct().collect()]  # metrics: a few values
+    unknown = set(fuels) - set(METRICS)
+    if unknown:
+        raise ValueError(f"unknown metrics: {sorted(unknown)}")
+    known = pairs.select("scope_id", "fuel_col").distinct()
+    series = F.concat_ws("/", "fuel_col", "station_id")
+    carrier = METRICS[0]
+    quotes = prices.where(observed_flag(METRICS) == 1).select("date", "station_id", F.explode(F.array(*[
+        F.struct(F.lit(f).alias("fuel_col"), to_number(f).alias(carrier)) for f in fuels])).alias("_q"))
+    quotes = quotes.select("date", F.concat_ws("/", "_q.fuel_col", "station_id").alias("station_id"), f"_q.{carrier}", F.lit(1).alias("is_observed_price"))
+    named = stations.select("scope_id", "station_id").join(known, "scope_id").select(
+        "scope_id", "fuel_col", F.col("station_id").alias("_station"), series.alias("station_id"))
+    scope = ["scope_id", "fuel_col", "_station"]
+    panel = expand_calendar(quotes, named, fetch_log, attributes=scope, metrics=[carrier, "is_observed_price"])
+    if wide:
+        frame = features(panel, carrier, horizons, fill_limit, scope[:2], rules=rules, keep=["_station"]).where("is_observed_price = 1")
+    else:
+        frame = _model_rows(panel.withColumnRenamed(carrier, "price"), max(horizons), scope, fill_limit, rules)
+    return frame.drop("station_id").withColumnRenamed("_station", "station_id")
+
+
 def training_frame(
     prices: DataFrame,
     stations: DataFrame,

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from quotegrid.functions.text import finite
@@ -86,3 +87,54 @@ def station_lines(latest: DataFrame) -> DataFrame:
     """``scope_id, fuel_col, station_id, line``: one JSON line per station of the latest recommendations."""
     fields = [c for c in latest.columns if c not in SCOPE]
     return json_ready(latest).select(*SCOPE, "station_id", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("line"))
+
+
+# Versions on files ---------------------------------------------------------------------------
+
+MANIFEST = "version long, folder string, documents long, stations long, generated_at string"
+
+
+def write_version(documents: DataFrame, stations: DataFrame, folder: str, version: int) -> str:
+    """The files of one version: a JSON document per scope and fuel, the stations' lines, and the feed of all documents.
+
+    No reader sees them before :func:`commit_version` names them. A run taken up again writes the same folder anew.
+    """
+    target = f"{folder}/v{version}"
+    for name, df, value in (("documents", documents, "payload"), ("stations", stations, "line")):
+        df.select(*SCOPE, F.col(value).alias("value")).write.mode("overwrite").partitionBy(*SCOPE).text(f"{target}/{name}")
+    feed = documents.select(*SCOPE, "payload").repartitionByRange(*SCOPE).sortWithinPartitions(*SCOPE)
+    feed.write.json(f"{target}/feed", mode="overwrite")
+    return target
+
+
+def commit_version(spark: SparkSession, folder: str, version: int, generated_at: str | None = None) -> int:
+    """Name the version in the manifest, after its files are complete; readers follow the manifest from then on."""
+    newest = published_version(spark, folder)
+    if newest is not None and newest["version"] >= version:
+        raise ValueError(f"version {version} is not newer than the published {newest['version']}")
+    target = f"{folder}/v{version}"
+    counts = [spark.read.text(f"{target}/{name}").count() for name in ("documents", "stations")]
+    spark.createDataFrame([(version, target, *counts, generated_at)], MANIFEST).coalesce(1).write.mode("append").json(f"{folder}/manifest")
+    return version
+
+
+def published_version(spark: SparkSession, folder: str):
+    """The newest manifest row, or None where nothing has been published."""
+    try:
+        rows = spark.read.schema(MANIFEST).json(f"{folder}/manifest")
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return rows.orderBy(F.desc("version")).first()  # one row per version
+
+
+def read_published(spark: SparkSession, folder: str, part: str) -> DataFrame:
+    """``feed`` (scope_id, fuel_col, payload), ``documents`` or ``stations`` (scope_id, fuel_col, value) of the published version."""
+    newest = published_version(spark, folder)
+    if newest is None:
+        raise ValueError(f"nothing published in {folder}")
+    path = f"{newest['folder']}/{part}"
+    if part == "feed":
+        return spark.read.schema("scope_id string, fuel_col string, payload string").json(path)
+    return spark.read.schema("value string, scope_id string, fuel_col string").text(path)

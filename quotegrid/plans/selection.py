@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from quotegrid.functions.text import next_version
+from quotegrid.session import stage
 
 PRIMARY_METRIC = "avg_policy_realized_saving"
 
@@ -133,3 +135,46 @@ def search_grid(search_space: DataFrame, defaults: DataFrame, fuels: DataFrame)
         .withColumn("waiting_cost", F.explode("_cs"))
         .select("fuel_col", "horizon_days", "waiting_cost")
     )
+
+
+# Production as a table of versions -----------------------------------------------------------
+
+def append_production(rows: DataFrame, folder: str) -> None:
+    """Append production rows; a row's version must be one above the one it was made from (see :func:`promote`)."""
+    rows.withColumn("committed_at", F.current_timestamp()).write.mode("append").parquet(folder)
+
+
+def current_production(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The row of the highest version per scope and fuel, or None where there is no table.
+
+    Of two rows of one version (two writers that did not see each other) the one committed first holds for all readers.
+    """
+    try:
+        history = spark.read.parquet(folder)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    names = [c for c in history.columns if c != "committed_at"]
+    number = F.regexp_extract("version", r"(\d+)", 1).cast("int")
+    rank = F.struct((-number).alias("v"), "committed_at", F.to_json(F.struct(*names)))
+    best = history.groupBy("scope_id", "fuel_col").agg(F.min_by(F.struct(*names), rank).alias("_r"))
+    return best.select(*[F.col(f"_r.{c}").alias(c) for c in names])
+
+
+def promote_if_current(spark: SparkSession, folder: str, gated: DataFrame) -> DataFrame:
+    """Append the next version of every approved candidate that was compared with the version still in production.
+
+    ``gated`` must be a table of its own (see :func:`quotegrid.session.stage`): a frame that still reads production would be
+    computed anew and always be current. Returns ``scope_id, fuel_col, outcome`` (promoted, refused by the gate, or stale: production has moved on since).
+    """
+    now = current_production(spark, folder)
+    seen = gated.select("scope_id", "fuel_col", "approved", F.col("current_production.version").alias("_seen"))
+    judged = seen.join(now.select("scope_id", "fuel_col", "version"), ["scope_id", "fuel_col"], "left").select(
+        "scope_id", "fuel_col", F.when(~F.col("approved"), "refused").when(
+            F.col("version").eqNullSafe(F.col("_seen")), "promoted").otherwise("stale").alias("outcome"))
+    judged = stage(judged, "promotion")
+    due = judged.where("outcome = 'promoted'").select("scope_id", "fuel_col")
+    changed = promote(now.join(due, ["scope_id", "fuel_col"], "left_semi"), gated)
+    append_production(changed, folder)
+    return judged
