@@ -18,7 +18,7 @@ HEADLINE = [
     "station_panel", "panel_full_calendar", "daily_summary", "latest_best_price_diesel", "ffill_limit3",
     "rolling_7_14_30", "price_position_365", "market_stats", "price_rank_pct", "regime_labels",
     "future_min_targets", "training_features", "calibration_table", "rolling_backtest_summary",
-    "daily_run_latest", "upsert_prices", "raw_feed_normalize",
+    "daily_run_latest", "upsert_prices", "raw_feed_normalize", "boosted_save_load",
 ]
 
 
