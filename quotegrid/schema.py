@@ -87,6 +87,7 @@ WAIT, BUY_NOW, NO_DATA = "wait", "buy_now", "no_data"
 QUANTILES = (0.2, 0.5, 0.8)
 MIN_ROWS_PER_REGIME = 150
 
+# The features of the boosted model, in its order.
 CATEGORICAL_FEATURES = ["station_id", "regime"]
 NUMERIC_FEATURES = [
     "price", "price_ffill",
