@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from quotegrid.session import stage, working_path
+from quotegrid.session import WorkingTables
 
 #: Rows of an Arrow batch are worked off in slices of about this many text bytes.
 SLICE_BYTES = 2 << 20
@@ -35,40 +34,6 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             start = stop
 
 
-class Steps:
-    """Working tables of a query with many steps, which are given up as soon as no later step reads them.
-
-    Spark deletes the shuffle files of a finished step when its driver collects garbage; a step's end is a good
-    moment for that, and without it the files of all steps lie on the executors' disks at once.
-    """
-
-    def __init__(self, name: str):
-        self.name = name
-        self.paths: dict[int, str] = {}
-
-    def keep(self, df: DataFrame, step: str) -> DataFrame:
-        """Write ``df`` to the shared folder and read it back, as :func:`quotegrid.session.stage` does."""
-        path = working_path(df.sparkSession, f"{self.name}-{step}")
-        df.write.option("compression", "zstd").parquet(path)
-        table = df.sparkSession.read.schema(df.schema).parquet(path)
-        self.paths[id(table)] = path
-        del df
-        sweep(table)
-        return table
-
-    def drop(self, *tables: DataFrame) -> None:
-        """Empty tables of :meth:`keep` that nothing reads any more."""
-        for table in tables:
-            path = self.paths.pop(id(table))
-            table.sparkSession.createDataFrame([], table.schema).coalesce(1).write.mode("overwrite").parquet(path)
-
-
-def sweep(df: DataFrame) -> None:
-    """Let the driver collect what finished steps have left."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def as_array(values: list, kind: pa.DataType) -> pa.Array:
     return pa.array(values, type=kind)
 
@@ -129,8 +94,9 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
     and a join Spark may split; written to the shared folder after each pair of passes. No neighbour
     list is ever gathered. Ends when a pass changes nothing (checked by counts and hashes of the edges).
     """
-    edges = stage(links.where("a <> b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    steps = WorkingTables(name)
+    edges = steps.keep(links.where("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -140,7 +106,8 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(down.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        edges = stage(small, name)
+        old, edges = edges, steps.keep(small, "edges")
+        steps.drop(old)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(

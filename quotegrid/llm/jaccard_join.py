@@ -22,15 +22,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quotegrid.llm.common import LOWER, Cache, bitmap, connected_components, in_bitmap, list_array, mixed, slices, windows, word_hash
-from quotegrid.session import stage
+from quotegrid.session import WorkingTables, stage
 
 GROUPS = 128  # coordinates of a point
 CHUNK_POINTS = 1024
 BOX_POINTS = 32
 CELL_BITS = 1 << 26
+#: Parts in which leaves are counted, one after the other: the disk that their shuffle takes at a time.
+RANGES = 4
 DOC_BITS = 1 << 24
 
 
@@ -125,49 +128,57 @@ def _bodies(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select(*more, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"))
 
 
-def sets_of(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, copy (hash of the text), n, class of every row. A row without a shingle is a class of its own."""
+def sets_of(docs: DataFrame, k: int, p: int, q: int) -> DataFrame:
+    """doc_id, copy (hash of the text), n, class and leaves of every row, in one pass over the texts.
+
+    Equal sets of a slice have their leaves listed once. A row without a shingle is a class of its own and has none.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_cache()
+        cache, of = word_cache(), bands(p, q)
         for part in slices(batches, "body"):
             cache.trim()
-            n, node = [], []
+            n, node, at, seen = [], [], [], set()
             for body, alone in zip(part.column("body").to_pylist(), part.column("alone").to_pylist(), strict=True):
                 tokens = shingles(body, k, cache)
                 n.append(len(tokens))
                 node.append(class_of(tokens) if len(tokens) else alone)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("copy"), pa.array(n, type=pa.int64()), pa.array(node, type=pa.int64())],
-                                             names=["doc_id", "copy", "n", "node"])
+                at.append(leaves(tokens, of) if len(tokens) and node[-1] not in seen else np.zeros(0, dtype=np.int64))
+                seen.add(node[-1])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("copy"), pa.array(n, type=pa.int64()), pa.array(node, type=pa.int64()), list_array(at, pa.int64())],
+                names=["doc_id", "copy", "n", "node", "leaves"])
 
     key = F.col("doc_id").cast("long").alias("doc_id")
-    rows = _bodies(docs, key, F.xxhash64("text").alias("copy"), F.xxhash64(F.lit("empty"), F.coalesce("doc_id", F.lit(-1))).alias("alone"))
-    return rows.mapInArrow(run, "doc_id long, copy long, n long, node long")
+    alone = F.xxhash64(F.lit("empty"), F.col("doc_id").isNull(), F.col("doc_id")).alias("alone")
+    rows = _bodies(docs, key, F.xxhash64("text").alias("copy"), alone)
+    return rows.mapInArrow(run, "doc_id long, copy long, n long, node long, leaves array<long>")
+
+
+def shared_leaves(rows: DataFrame, steps: WorkingTables) -> DataFrame:
+    """The leaves that hold two classes or more, worked off by ranges of their hashes: one range at a time is shuffled."""
+    found = []
+    for i in range(RANGES):
+        each = rows.select("node", F.explode("leaves").alias("leaf")).where(F.pmod("leaf", F.lit(RANGES)) == i)
+        ends = each.groupBy("leaf").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+        found.append(steps.keep(ends.where("lo < hi").select("leaf"), "shared"))
+    out = found[0]
+    for part in found[1:]:
+        out = out.union(part)
+    return out
 
 
-def leaf_rows(docs: DataFrame, k: int, p: int, q: int, only: np.ndarray | None = None) -> DataFrame:
-    """(leaf, node) of every row, equal sets of a batch once; ``only``: leaves (probably) in that bitmap."""
-    shared = None if only is None else docs.sparkSession.sparkContext.broadcast(only)  # fixed size
+def leaf_rows(rows: DataFrame, only: np.ndarray) -> DataFrame:
+    """(leaf, node) of every row of :func:`sets_of` and leaf (probably) in the bitmap."""
+    shared = rows.sparkSession.sparkContext.broadcast(only)  # fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, of = word_cache(), bands(p, q)
-        table = None if shared is None else shared.value
-        for part in slices(batches, "body"):
-            cache.trim()
-            seen, keys, nodes = set(), [], []
-            for body in part.column("body").to_pylist():
-                tokens = shingles(body, k, cache)
-                node = class_of(tokens)
-                if len(tokens) and node not in seen:
-                    seen.add(node)
-                    at = leaves(tokens, of)
-                    if table is not None:
-                        at = at[in_bitmap(table, at)]
-                    keys.append(at)
-                    nodes.append(np.full(len(at), node, dtype=np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], names=["leaf", "node"])
+        for batch in batches:
+            at = batch.column("leaves").flatten().to_numpy()
+            keep = in_bitmap(shared.value, at)
+            node = np.repeat(batch.column("node").to_numpy(), pc.list_value_length(batch.column("leaves")).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(at[keep]), pa.array(node[keep])], names=["leaf", "node"])
 
-    return _bodies(docs).mapInArrow(run, "leaf long, node long")
+    return rows.select("node", "leaves").mapInArrow(run, "leaf long, node long")
 
 
 def token_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
@@ -198,8 +209,10 @@ def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     size = sets.select("node", "n")
     near = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").where(
         F.lit(p) * F.greatest("na", "nb") <= F.lit(q) * F.least("na", "nb"))
-    rows = near.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
+    # The sets are bucketed by node: those of a do not move to meet their pairs; of b only the few that are wanted do, so
+    # that both sides of the last join are shuffled and a set that many pairs share can be split.
+    others = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")).join(near.select("b").distinct(), "b", "left_semi")
+    rows = near.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a").join(others.hint("shuffle_merge"), "b")
     rows = rows.withColumn("both", F.size(F.array_intersect("ta", "tb")))
     return rows.where(F.lit(q) * F.col("both") >= F.lit(p) * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
@@ -298,23 +311,34 @@ def components(docs: DataFrame, k: int = 3, p: int = 90, q: int = 100) -> DataFr
     never name a component with ids in it; repeated rows are all returned; columns other than doc_id and text are not read.
     Classes and shingles are 64-bit hashes: links are exact but for collisions of those.
     """
-    docs = docs.select("doc_id", "text")
-    rows = stage(sets_of(docs, k), "shingle-sets")
-    filled = leaf_rows(docs, k, p, q).groupBy("leaf").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    shared = stage(filled.where("lo < hi").select("leaf"), "shared-leaves")
-    members = leaf_rows(docs, k, p, q, bitmap(shared, "leaf", CELL_BITS)).distinct().join(shared, "leaf", "left_semi")
-    members = stage(members, "leaf-members")
+    docs, steps = docs.select("doc_id", "text"), WorkingTables("near")
+    wide = steps.keep(sets_of(docs, k, p, q), "leaves")
+    rows = steps.keep(wide.drop("leaves"), "sets")
+    shared = shared_leaves(wide, steps)
+    members = leaf_rows(wide, bitmap(shared, "leaf", CELL_BITS)).distinct().join(shared, "leaf", "left_semi")
+    members = steps.keep(members, "members")
+    steps.drop(wide)
     wanted = members.select("node").distinct().join(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node")
-    sets = stage(token_sets(docs, k, stage(wanted, "wanted-sets")), "token-sets")
-    links = stage(verified(star_pairs(members), sets, p, q), "star-links")
+    wanted = steps.keep(wanted, "wanted")
+    sets = steps.keep_bucketed(token_sets(docs, k, wanted), "tokens", "node")
+    links = steps.keep(verified(star_pairs(members), sets, p, q), "links")
     first = connected_components(links)
     now = members.join(first, "node", "left").select("leaf", "node", F.coalesce("label", "node").alias("comp"))
-    more = verified(leaf_pairs(now, sets, p, q), sets, p, q)
-    final = connected_components(links.union(more))
-    found = stage(rows.join(final, "node", "left").select(
-        "doc_id", "copy", F.col("n").alias("n_shingles"), "node", F.coalesce("label", "node").alias("label")), "labelled")
-    least = found.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return found.join(least, "label").select("doc_id", "copy", "n_shingles", "component_id", "node", "label")
+    pairs = steps.keep(leaf_pairs(now, sets, p, q), "pairs")
+    more = steps.keep(verified(pairs, sets, p, q), "more")
+    steps.drop(pairs, members)
+    # Classes by the smallest id of their rows: the label that components end with names them, and no row is gathered by label.
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node")
+    names = wanted.select("node", name.alias("name"))
+    named = links.union(more).join(names.toDF("a", "na"), "a").join(names.toDF("b", "nb"), "b").select(
+        F.col("na").alias("a"), F.col("nb").alias("b"))
+    final = connected_components(named).select(F.col("node.node").alias("node"), "label")
+    own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node")
+    alone = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("node", own.alias("own")).join(final, "node", "left").select(
+        "node", F.coalesce("label", "own").alias("label"))
+    return steps.keep(rows.join(alone, "node").select(
+        "doc_id", "copy", F.col("n").alias("n_shingles"), F.col("label.doc_id").alias("component_id"), "node",
+        F.col("label.node").alias("label")), "labelled")
 
 
 def keep_one(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> DataFrame:
@@ -323,7 +347,7 @@ def keep_one(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> DataFram
     Rows without a shingle all stay, but for repeated rows of one id. Only rows that may have to go are shuffled:
     a bitmap of fixed size tells the others apart.
     """
-    found = stage(components(docs, k, p, q), "near-duplicates")
+    found = components(docs, k, p, q)
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "copy")
     best = found.groupBy("label").agg(F.min_by(F.struct("doc_id", "copy"), rank).alias("best"))
     # rows of one id and text are told apart by nothing: they are one group, of which one row stays
