@@ -24,8 +24,8 @@ from quotegrid.session import stage
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|iframe|object|svg|math|canvas|select|audio|video|head)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</\1\s*>|\Z))"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"|<(script|style|noscript|template|textarea|title|iframe|object|svg|math|canvas|select|audio|video|head)\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</\1\s*>|\Z))"
+    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"\s(?:hidden(?=[\s=/]|\Z)|aria-hidden\s*=\s*[\"']?true)", re.I)
@@ -60,6 +60,8 @@ HEADERS = ("header", "banner")
 LINK_SHARE = 0.6
 #: Distinct pages on which a slot's text must be the same to be part of the template.
 CONSTANT_PAGES = 3
+#: Levels of elements that a path names; what is nested deeper counts as of the last of them, so no text is lost.
+MOST_DEPTH = 100
 
 
 def label(tag: str, attributes: str) -> str:
@@ -85,7 +87,7 @@ def page_slots(page: str) -> list[tuple[str, str, int]]:
         text = " ".join(entities.unescape("".join(parts)).split())
         if text and hidden is None:
             inside = len(" ".join(entities.unescape(" ".join(linked)).split()))
-            out.append(("/".join([*path, "#"]), text, inside))
+            out.append(("/".join([*path[:MOST_DEPTH], "#"]), text, inside))
         parts.clear()
         linked.clear()
 
