@@ -36,7 +36,7 @@ STEPS = 4
 CUTOFF = 36.0
 #: The scatter of the closest 75 % is smaller than that of all rows of a normal population by about this.
 CONSISTENCY = 1.4
-#: Rows below which a group's own estimate isn't used.
+#: Rows below which the estimate of a source or language isn't used; that of all rows always is.
 LEAST_ROWS = 200
 CLASSES_PER_OCTAVE = 8
 MOST_CLASS = 64 * CLASSES_PER_OCTAVE
@@ -144,8 +144,8 @@ def _sums(rows: DataFrame) -> DataFrame:
     """Per group and distance class: rows, sums and sums of products, rounded so that their order doesn't show."""
     x = [F.col("x")[i] for i in range(DIMENSIONS)]
     return rows.groupBy("level", "lang", "source", "cls").agg(
-        F.count("*").alias("n"), *[F.sum(x[i]).alias(f"s{i}") for i in range(DIMENSIONS)],
-        *[F.sum(x[i] * x[j]).alias(f"p{i}_{j}") for i, j in PAIRS])
+        F.count("*").alias("n"), *[F.round(F.sum(x[i]), 6).alias(f"s{i}") for i in range(DIMENSIONS)],
+        *[F.round(F.sum(x[i] * x[j]), 6).alias(f"p{i}_{j}") for i, j in PAIRS])
 
 
 def estimates(stats: DataFrame, steps: int = STEPS) -> DataFrame:
@@ -183,7 +183,7 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     keys = [F.coalesce(F.col(f"row.{c}").cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"))]
     narrow = with_statistics(docs.select(*dict.fromkeys([lang, source, text])), text).where("not stats.base_failed")
     fitted = estimates(stage(narrow.select(*keys, F.col("stats.x").alias("x")), "quality-stats"))
-    usable = fitted.where(F.col("n") >= LEAST_ROWS).select("level", "lang", "source", F.struct("center", "precision").alias("e"))
+    usable = fitted.where((F.col("n") >= LEAST_ROWS) | (F.col("level") == 2)).select("level", "lang", "source", F.struct("center", "precision").alias("e"))
     own = usable.where("level = 0").select("lang", "source", F.col("e").alias("e0"))
     by_lang = usable.where("level = 1").select("lang", F.col("e").alias("e1"))
     every = usable.where("level = 2").select(F.lit(2).alias("level"), F.col("e").alias("e2"))
