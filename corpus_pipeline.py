@@ -31,7 +31,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality_rules", rules), ("quality_classifier", classifier), ("near_duplicates", near_duplicates), ("packing", pack)]
 
-#: Robust estimates, a fitted model and greedy packing are not SQL; the tests hold the stages against brute force.
+#: Robust estimates, a fitted model and greedy packing are not SQL. The tests hold base rules, components and packing against
+#: brute force, and the two filters by what they keep of planted rows.
 ORACLE_SQL = None
 
 
