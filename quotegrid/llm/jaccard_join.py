@@ -34,6 +34,8 @@ BOX_POINTS = 32
 CELL_BITS = 1 << 26
 #: Parts in which leaves are counted, one after the other: the disk that their shuffle takes at a time.
 RANGES = 4
+#: Rows whose leaves are looked up at a time; a row may have several hundred.
+ROWS_AT_ONCE = 256
 DOC_BITS = 1 << 24
 
 
@@ -172,11 +174,12 @@ def leaf_rows(rows: DataFrame, only: np.ndarray) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(only)  # fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column("leaves").flatten().to_numpy()
-            keep = in_bitmap(shared.value, at)
-            node = np.repeat(batch.column("node").to_numpy(), pc.list_value_length(batch.column("leaves")).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(at[keep]), pa.array(node[keep])], names=["leaf", "node"])
+        for whole in batches:
+            for batch in (whole.slice(i, ROWS_AT_ONCE) for i in range(0, whole.num_rows, ROWS_AT_ONCE)):
+                at = batch.column("leaves").flatten().to_numpy()
+                keep = in_bitmap(shared.value, at)
+                node = np.repeat(batch.column("node").to_numpy(), pc.list_value_length(batch.column("leaves")).to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array(at[keep]), pa.array(node[keep])], names=["leaf", "node"])
 
     return rows.select("node", "leaves").mapInArrow(run, "leaf long, node long")
 
