@@ -643,7 +643,7 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT date, station_id, price, target, true AS same_forecasts, '{FUEL}' AS fuel_col, '0.003' AS waiting_cost FROM f_pred WHERE horizon_days = 7",
         "f_pred")
     o["boosted_backtest_folds"] = build(
-        f"SELECT horizon_days, fold_id, rows_train, count(*) AS rows_test, {told} FROM i_pred WHERE horizon_days = 7 "
+        f"SELECT horizon_days, fold_id, rows_train, count(*) AS rows_test, true AS quantiles_in_order FROM i_pred WHERE horizon_days = 7 "
         "GROUP BY horizon_days, fold_id, rows_train", "i_pred")
     o["model_save_load"] = build(
         f"SELECT horizon_days, model_key, rows_train, {diffs}, '{FUEL}' AS fuel_col, '0.003' AS waiting_cost FROM f_models", "f_models")

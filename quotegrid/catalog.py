@@ -574,8 +574,9 @@ def boosted_backtest_folds(spark, d):
     folds = bt.index_folds(days, **ROLLING)
     frame = boosted_rows(spark, d, bt.fold_ends(folds))
     boosted = stage(bt.backtest_predictions(frame, folds, days, [7], forecaster=bo.BoostedForecaster()), "boosted-backtest")
-    baseline = bt.backtest_predictions(frame, folds, days, [7])
-    return _against_baseline(boosted, baseline, ["horizon_days", "fold_id"])
+    ordered = F.min((F.col("pred_q20") <= F.col("pred_q50")) & (F.col("pred_q50") <= F.col("pred_q80")))
+    return boosted.groupBy("horizon_days", "fold_id", "rows_train").agg(
+        F.count("*").alias("rows_test"), ordered.alias("quantiles_in_order"))
 
 
 @query
