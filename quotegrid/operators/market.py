@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quotegrid.functions.frames import by_key
 from quotegrid.operators.histogram import quantiles, running_counts, value_counts
 
 DAY = ("date",)
+#: What :func:`ranked_quotes` adds to a quote.
+RANKED = ("price_ffill", "price_rank_pct", "n_cheaper_stations")
 
 
 def market_stats(panel: DataFrame, price: str, keys: Sequence[str] = DAY) -> DataFrame:
@@ -55,3 +58,34 @@ def with_price_ranks(df: DataFrame, price: str = "price_ffill", keys: Sequence[s
         F.col("below").alias("n_cheaper_stations"),
     )
     return df.join(ranks, [*keys, price], "left")
+
+
+def ranked_quotes(quotes: DataFrame, last: Column, price: str, fill_limit: int = 3, scope: Sequence[str] = ()) -> DataFrame:
+    """Fills and ranks worked out on the quotes, before the calendar is expanded: ``date, station_id``, ``price``,
+    ``is_observed_price``, ``price_ffill``, ``price_rank_pct``, ``n_cheaper_stations``.
+
+    A price holds from its day until the station's next price, for ``fill_limit`` more days at most and not after ``last``.
+    Each quote gives a row of its own day and one for each day after it that has no quote and on which the price still
+    holds, so there is one row per station and day, and none for the empty rest of the calendar. These narrow rows are what
+    meets the ranks; the dense rows take them along by station. Of several quotes of a day the largest values hold.
+    ``scope`` names columns of ``quotes`` that split the stations into markets.
+    """
+    best = [F.max(c).alias(c) for c in (price, "is_observed_price")]
+    each = by_key(quotes, ["station_id"]).groupBy("station_id", "date").agg(*best, *[F.min(c).alias(c) for c in scope])
+    w = Window.partitionBy("station_id").orderBy("date")
+    priced = F.last(F.when(F.col(price).isNotNull(), F.struct("date", F.col(price).alias("price"))), ignorenulls=True)
+    held = each.withColumns({
+        "_held": priced.over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        "_next": F.lead("date").over(w),
+    }).withColumn("_until", F.date_add("_held.date", fill_limit))
+    # greatest and least skip NULLs: without a price the row stands for its own day only, the last quote has no next.
+    empty_until = F.least("_until", F.date_sub("_next", 1), last)
+    end = F.when(F.col("_until").isNotNull(), F.greatest("date", empty_until)).otherwise(F.col("date"))
+    here = F.col("_day") == F.col("date")
+    days = held.withColumn("_day", F.explode(F.sequence("date", end))).select(
+        F.col("_day").alias("date"), "station_id", *scope,
+        *[F.when(here, F.col(c)).alias(c) for c in (price, "is_observed_price")],
+        F.when(F.col("_day") <= F.col("_until"), F.col("_held.price")).alias("price_ffill"),
+    )
+    return with_price_ranks(days, "price_ffill", [*scope, "date"]).select(
+        "date", "station_id", price, "is_observed_price", *RANKED)

@@ -41,7 +41,7 @@ def date_bounds(df: DataFrame) -> DataFrame:
     return df.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 
-def _panel_bounds(prices: DataFrame, stations: DataFrame, fetch_log: DataFrame | None) -> DataFrame:
+def panel_bounds(prices: DataFrame, stations: DataFrame, fetch_log: DataFrame | None) -> DataFrame:
     """First and last day of the prices of known stations, else of the fetch log, else today."""
     # One row per station before the semi join, so the join never moves the price rows.
     per_station = prices.groupBy("station_id").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
@@ -65,9 +65,12 @@ def expand_calendar(
     end=None,
     attributes: Sequence[str] = (),
     metrics: Sequence[str] = METRICS,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """One row per day and station; metrics are NULL on days without a quote.
 
+    ``bounds`` are those of :func:`panel_bounds`, where they are known already.
+
     No day-by-station product is joined. Each station is put into the quotes as a row without a date;
     ordered by date it comes first, hands its attributes to the quotes behind it, and stands for the
     whole calendar where there are none (quotes of unknown stations drop out). Each quote row is then
@@ -77,7 +80,8 @@ def expand_calendar(
     """
     start, end = parse_day(start), parse_day(end)
     rows = in_range(prices, start, end)
-    bounds = None if start and end else _panel_bounds(rows, stations, fetch_log)
+    if bounds is None and not (start and end):
+        bounds = panel_bounds(rows, stations, fetch_log)
     lo = F.lit(start) if start else bounds.select("lo").scalar()
     hi = F.lit(end) if end else bounds.select("hi").scalar()
     carried = [c for c in ("fetched_at", *metrics) if c in prices.columns]
@@ -191,7 +195,7 @@ def daily_summary(
 def calendar(prices, stations, fetch_log=None, start=None, end=None) -> DataFrame:
     """The days of the full-calendar panel, one row each; empty where there is no station."""
     start, end = parse_day(start), parse_day(end)
-    bounds = _panel_bounds(in_range(prices, start, end), stations, fetch_log)
+    bounds = panel_bounds(in_range(prices, start, end), stations, fetch_log)
     any_station = stations.select("station_id").limit(1)
     lo = F.lit(start) if start else F.col("lo")
     hi = F.lit(end) if end else F.col("hi")

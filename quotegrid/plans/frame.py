@@ -10,7 +10,7 @@ from quotegrid.functions.frames import by_key
 from quotegrid.functions.text import to_number
 from quotegrid.operators import market as mk
 from quotegrid.operators import timeseries as ts
-from quotegrid.operators.panel import expand_calendar, in_range, observed_flag
+from quotegrid.operators.panel import expand_calendar, in_range, observed_flag, panel_bounds, parse_day
 from quotegrid.operators.regime import RegimeRules, with_regimes
 from quotegrid.schema import METRICS
 
@@ -25,12 +25,14 @@ def features(
     rules: RegimeRules = RegimeRules(),
     keep: Sequence[str] = (),
     ends: Sequence = (),
+    ranked: bool = False,
 ) -> DataFrame:
     """Features, regime and targets of one metric on a panel with one row per day and station.
 
     ``scope`` names columns that split the stations into separate markets. ``keep`` names panel
     columns to carry along. The price rank needs the rows once by (day, price); it is taken before
-    the wide columns exist, so that the wide rows never leave the station partitioning.
+    the wide columns exist, so that the wide rows never leave the station partitioning. A panel of
+    :func:`ranked_panel` brings fills and ranks along (``ranked``) and does not move at all.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric: {metric}")
@@ -44,12 +46,15 @@ def features(
         "date", "station_id", *carried,
         to_number(metric).alias("price"),
         F.coalesce(flag.cast("int"), F.lit(0)).alias("is_observed_price"),
+        *(mk.RANKED if ranked else ()),
     )
     if market is None:
         market = mk.market_stats(narrow, "price", day)
 
-    filled = ts.with_filled_price(narrow, "price", fill_limit)
-    placed = by_key(mk.with_price_ranks(filled, "price_ffill", day), ["station_id"])
+    placed = narrow
+    if not ranked:
+        filled = ts.with_filled_price(narrow, "price", fill_limit)
+        placed = by_key(mk.with_price_ranks(filled, "price_ffill", day), ["station_id"])
     extremes = ts.year_extremes()
     # Wide columns come with the last window pass; the passes before it carry narrow rows.
     frame = with_regimes(placed, "price_ffill", rules, alongside=(
@@ -65,6 +70,30 @@ def features(
     })
 
 
+def ranked_panel(
+    quotes: DataFrame,
+    stations: DataFrame,
+    metric: str,
+    scope: Sequence[str] = (),
+    fetch_log: DataFrame | None = None,
+    start=None,
+    end=None,
+    attributes: Sequence[str] = (),
+    fill_limit: int = 3,
+) -> DataFrame:
+    """The expanded calendar of one metric with fills and ranks, both worked out on the sparse quotes.
+
+    ``scope`` and ``attributes`` are columns of ``stations``; only the first split the market.
+    """
+    rows = in_range(quotes, start, end)
+    bounds = panel_bounds(rows, stations, fetch_log)
+    last = F.lit(parse_day(end)) if end else bounds.select("hi").scalar()
+    known = rows.join(stations.select("station_id", *scope), "station_id")
+    ranked = mk.ranked_quotes(known, last, metric, fill_limit, scope)
+    return expand_calendar(
+        ranked, stations, None, start, end, [*scope, *attributes], [metric, "is_observed_price", *mk.RANKED], bounds)
+
+
 def _sparse(prices: DataFrame, metric: str) -> DataFrame:
     """One metric of the price table with the panel's observed flag (any metric has a value)."""
     return prices.withColumn("is_observed_price", observed_flag(METRICS)).select(
@@ -134,10 +163,11 @@ def fuel_frame(
     named = stations.select("scope_id", "station_id").join(known, "scope_id").select(
         "scope_id", "fuel_col", F.col("station_id").alias("_station"), series.alias("station_id"))
     scope = ["scope_id", "fuel_col", "_station"]
-    panel = expand_calendar(quotes, named, fetch_log, attributes=scope, metrics=[carrier, "is_observed_price"])
     if wide:
-        frame = features(panel, carrier, horizons, fill_limit, scope[:2], rules=rules, keep=["_station"]).where("is_observed_price = 1")
+        panel = ranked_panel(quotes, named, carrier, scope[:2], fetch_log, attributes=scope[2:], fill_limit=fill_limit)
+        frame = features(panel, carrier, horizons, fill_limit, scope[:2], rules=rules, keep=["_station"], ranked=True).where("is_observed_price = 1")
     else:
+        panel = expand_calendar(quotes, named, fetch_log, attributes=scope, metrics=[carrier, "is_observed_price"])
         frame = _model_rows(panel.withColumnRenamed(carrier, "price"), max(horizons), scope, fill_limit, rules)
     return frame.drop("station_id").withColumnRenamed("_station", "station_id")
 
@@ -157,13 +187,11 @@ def training_frame(
 ) -> DataFrame:
     """:func:`features` straight from the base tables.
 
-    The market statistics are taken from the sparse quotes, which give the same result as the
-    expanded panel at a fraction of its rows.
+    Market statistics, fills and price ranks are taken from the sparse quotes, which give the same
+    result as the expanded panel at a fraction of its rows.
     """
     rows = _sparse(prices, metric)
-    panel = expand_calendar(
-        rows, stations, fetch_log, start, end, attributes=scope, metrics=[metric, "is_observed_price"]
-    )
+    panel = ranked_panel(rows, stations, metric, scope, fetch_log, start, end, fill_limit=fill_limit)
     known = rows.join(stations.select("station_id", *scope), "station_id")
     market = mk.market_stats(in_range(known, start, end).withColumnRenamed(metric, "price"), "price", [*scope, "date"])
-    return features(panel, metric, horizons, fill_limit, scope, market, rules, ends=ends)
+    return features(panel, metric, horizons, fill_limit, scope, market, rules, ends=ends, ranked=True)

@@ -11,7 +11,8 @@ from quotegrid.operators import market as mk
 from quotegrid.operators import panel as pn
 from quotegrid.operators import timeseries as ts
 from quotegrid.operators.regime import RegimeRules, with_regimes
-from quotegrid.plans.frame import features
+from quotegrid.plans.frame import features, training_frame
+from quotegrid.schema import METRICS
 
 DAY0 = dt.date(2024, 1, 1)
 
@@ -122,6 +123,51 @@ def test_ranks_with_one_hot_price(spark):
     same(got["n_cheaper_stations"].reindex(want.index), want.rank(method="min") - 1)
 
 
+@pytest.mark.parametrize("scope, span, fill_limit", [((), (None, None), 3), (("market",), (None, None), 3),
+                                                     (("market",), (DAY0 + dt.timedelta(days=5), DAY0 + dt.timedelta(days=31)), 1)])
+def test_ranks_of_sparse_quotes_are_those_of_the_dense_panel(spark, scope, span, fill_limit):
+    """Gaps shorter and longer than the fill, repeated quotes, quotes without this price, unknown and silent stations, a last day nobody else has."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for s in range(9):
+        for d in np.flatnonzero(rng.random(40) < (0.15, 0.5, 0.95)[s % 3]).tolist():
+            price = None if rng.random() < 0.2 else 1.0 + int(rng.integers(6)) / 100
+            rows += [(DAY0 + dt.timedelta(days=d), f"s{s}", price, 1.0)] * int(rng.integers(1, 3))
+            rows += [(DAY0 + dt.timedelta(days=d), f"s{s}", 1.03, None)] if rng.random() < 0.1 else []
+    rows += [(DAY0 + dt.timedelta(days=45), "s0", 1.2, 1.0), (DAY0 + dt.timedelta(days=60), "unknown", 0.1, 0.1)]
+    prices = spark.createDataFrame(rows, f"date date, station_id string, precio_gasoleo_a double, {METRICS[-1]} double")
+    missing = [m for m in METRICS if m not in prices.columns]
+    prices = prices.withColumns({m: F.lit(None).cast("double") for m in missing})
+    stations = spark.createDataFrame([(f"s{s}", "AB"[s % 2] if s < 8 else None) for s in range(10)], "station_id string, market string")
+    metric, (start, end) = "precio_gasoleo_a", span
+    got = training_frame(prices, stations, metric, [3], None, start, end, scope, fill_limit)
+
+    sparse = prices.withColumn("is_observed_price", pn.observed_flag())
+    panel = pn.expand_calendar(sparse, stations, None, start, end, scope, [metric, "is_observed_price"])
+    filled = ts.with_filled_price(panel.withColumnRenamed(metric, "price"), "price", fill_limit)
+    columns = ["date", "station_id", *scope, "price", "is_observed_price", "price_ffill", "price_rank_pct", "n_cheaper_stations"]
+    want = mk.with_price_ranks(filled, "price_ffill", [*scope, "date"]).fillna(0, ["is_observed_price"])
+    left, right = (df.select(*columns).orderBy("station_id", "date").toPandas() for df in (got, want))
+    assert len(left) == len(right) > 100
+    assert left[["date", "station_id", *scope]].equals(right[["date", "station_id", *scope]])
+    for c in columns[-5:]:
+        same(left[c], right[c])
+    assert left["price_rank_pct"].notna().sum() > left["price"].notna().sum()
+
+
+def test_dense_rows_are_not_moved_for_ranks(spark):
+    """Between the expansion of the calendar and the result no exchange lies on the way of the dense rows."""
+    prices = spark.createDataFrame([(DAY0, "a", 1.0)], "date date, station_id string, precio_gasoleo_a double")
+    prices = prices.withColumns({m: F.lit(None).cast("double") for m in METRICS if m != "precio_gasoleo_a"})
+    stations = spark.createDataFrame([("a",), ("b",)], "station_id string")
+    node = training_frame(prices, stations, "precio_gasoleo_a", [3])._jdf.queryExecution().executedPlan().initialPlan()
+    passed = []
+    while node.nodeName() != "Generate":
+        passed.append(node.nodeName())
+        node = node.children().head()
+    assert "Window" in passed and "Exchange" not in passed
+
+
 def test_invalid_arguments():
     with pytest.raises(ValueError):
         pn.parse_day("2024/01/01")
