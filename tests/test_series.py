@@ -11,7 +11,7 @@ from quotegrid.operators import market as mk
 from quotegrid.operators import panel as pn
 from quotegrid.operators import timeseries as ts
 from quotegrid.operators.regime import RegimeRules, with_regimes
-from quotegrid.plans.frame import features, training_frame
+from quotegrid.plans.frame import features, fuel_frame, training_frame
 from quotegrid.schema import METRICS
 
 DAY0 = dt.date(2024, 1, 1)
@@ -168,6 +168,25 @@ def test_dense_rows_are_not_moved_for_ranks(spark):
     assert "Window" in passed and "Exchange" not in passed
 
 
+def test_fuels_side_by_side_are_ranked_in_their_own_markets(spark):
+    """The wide frame of every scope and fuel against one training frame per fuel; days bounded by all fuels' quotes."""
+    rng = np.random.default_rng(11)
+    fuels = [METRICS[0], METRICS[1]]
+    days = [(DAY0 + dt.timedelta(days=int(d)), f"s{s}", *(1.0 + int(rng.integers(5)) / 100 if rng.random() < 0.7 else None for _ in fuels))
+            for s in range(6) for d in [0, *np.flatnonzero(rng.random(20) < 0.6).tolist()[1:], 20]]
+    prices = spark.createDataFrame(days, f"date date, station_id string, {fuels[0]} double, {fuels[1]} double")
+    prices = prices.withColumns({m: F.lit(None).cast("double") for m in METRICS if m not in fuels})
+    stations = spark.createDataFrame([(f"s{s}", "AB"[s % 2]) for s in range(6)], "station_id string, scope_id string")
+    pairs = spark.createDataFrame([(c, f) for c in "AB" for f in fuels], "scope_id string, fuel_col string")
+    columns = ["fuel_col", "scope_id", "station_id", "date", "price", "price_ffill", "price_rank_pct", "n_cheaper_stations", "market_median"]
+    got = fuel_frame(prices, stations, pairs, [3], wide=True).select(*columns).orderBy(*columns[:4]).toPandas()
+    each = [training_frame(prices, stations, f, [3], scope=["scope_id"]).where("is_observed_price = 1").withColumn("fuel_col", F.lit(f)) for f in fuels]
+    want = each[0].select(*columns).union(each[1].select(*columns)).orderBy(*columns[:4]).toPandas()
+    assert len(got) == len(want) > 60 and got[columns[:4]].equals(want[columns[:4]])
+    for c in columns[4:]:
+        same(got[c], want[c])
+
+
 def test_invalid_arguments():
     with pytest.raises(ValueError):
         pn.parse_day("2024/01/01")
