@@ -11,7 +11,7 @@ from quotegrid.operators import market as mk
 from quotegrid.operators import panel as pn
 from quotegrid.operators import timeseries as ts
 from quotegrid.operators.regime import RegimeRules, with_regimes
-from quotegrid.plans.frame import features, fuel_frame, training_frame
+from quotegrid.plans.frame import features, fuel_frame, model_frame, training_frame
 from quotegrid.schema import METRICS
 
 DAY0 = dt.date(2024, 1, 1)
@@ -192,3 +192,37 @@ def test_invalid_arguments():
         pn.parse_day("2024/01/01")
     with pytest.raises(ValueError):
         pn.best_metric("kerosene")
+
+
+@pytest.mark.parametrize("fallback,fill_limit", [("series", 3), ("series", 0), ("none", 5)])
+def test_model_rows_from_quotes_are_those_of_the_calendar(spark, fallback, fill_limit):
+    """Observed days without a price, quotes that come twice, unknown stations and stations listed twice included."""
+    pdf = random_panel(7, stations=5, days=330, share=0.45)
+    pdf = pdf[(pdf["is_observed_price"] == 1) | (pdf.index % 17 == 0)]
+    pdf = pdf[(pdf["station_id"] != "s3") | (pdf.index % 9 == 0)]  # few quotes: the scale of the series
+    quotes = to_spark(spark, pdf).withColumnRenamed("price", "precio_gasoleo_a").drop("is_observed_price").withColumns(
+        {m: F.lit(1.0 if m == METRICS[1] else None).cast("double") for m in METRICS[1:]})
+    prices = quotes.unionByName(quotes.limit(20)).unionByName(quotes.limit(3).withColumn("date", F.lit(None).cast("date")))
+    stations = spark.createDataFrame([("s0", "A"), ("s1", "A"), ("s2", "B"), ("s2", "B"), ("s3", "B"), ("none", "A")], "station_id string, scope_id string")
+    rules = RegimeRules(scale_fallback=fallback)
+    ends = [DAY0 + dt.timedelta(days=n) for n in (40, 200, 329)]
+    got = model_frame(prices, stations, "precio_gasoleo_a", 14, scope=["scope_id"], fill_limit=fill_limit, rules=rules, ends=ends)
+
+    sparse = prices.withColumn("is_observed_price", pn.observed_flag(METRICS)).select("date", "station_id", "precio_gasoleo_a", "is_observed_price")
+    panel = pn.expand_calendar(sparse, stations, attributes=["scope_id"], metrics=["precio_gasoleo_a", "is_observed_price"])
+    panel = ts.with_filled_price(panel.withColumnRenamed("precio_gasoleo_a", "price"), "price", fill_limit)
+    want = with_regimes(panel, rules=rules, alongside=({}, {}, {"ahead": ts.future_prices("price", 14)}), ends=ends)
+    want = want.where("is_observed_price = 1").select(*got.columns)
+    assert got.count() == want.count() > 400
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert got.select("regime").distinct().count() >= 3
+
+
+def test_no_empty_day_of_the_model_rows_becomes_a_row(spark):
+    days = [(DAY0, "a"), (DAY0 + dt.timedelta(days=3000), "a"), (DAY0 + dt.timedelta(days=1), "b")]
+    prices = spark.createDataFrame([(d, s, *[1.5] * len(METRICS)) for d, s in days], ["date", "station_id", *METRICS])
+    stations = spark.createDataFrame([("a",), ("b",)], ["station_id"])
+    rows = model_frame(prices, stations, "precio_gasoleo_a", 14)
+    assert rows.count() == 3
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode(") == 1  # stations listed twice only
