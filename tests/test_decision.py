@@ -151,3 +151,12 @@ def test_promotion(spark):
     after = {r["scope_id"]: r for r in sel.promote(production, gated).collect()}
     assert after["a"]["version"] == "v10" and after["a"]["horizon_days"] == 14 and after["a"]["notes"] == "note"
     assert [after[s]["version"] for s in "bcd"] == ["v9"] * 3
+
+
+def test_rows_are_counted_once_for_all_branches_of_a_fit(spark):
+    rows = spark.createDataFrame([(3, "stable", 1.0, 0.9), (3, "shock_up", 1.0, 0.8)] * 200, "horizon_days int, regime string, price double, target double")
+    models = fc.fit(rows, ["horizon_days"])
+    assert models.count() == 3 and all("difference-counts" in f for f in models.inputFiles())
+    folds = rows.withColumns({"fold_lo": F.lit(1), "fold_hi": F.lit(2)})
+    models = fc.DifferenceForecaster().fit(folds, ["horizon_days"])
+    assert models.count() == 6 and all("difference-counts" in f for f in models.inputFiles())
