@@ -137,3 +137,28 @@ def test_a_run_broken_off_goes_on_with_its_snapshot(spark, tmp_path):
     assert ig.current_table(spark, store, "prices").count() == 6
     entry = ig.current_fetch_log(spark, store).collect()
     assert [(r["status"], r["records_count"]) for r in entry] == [("fetched", 6)] and ig.open_run(spark, store) == run + 1
+
+
+def test_feeds_land_in_more_files_the_larger_the_tables(spark, monkeypatch, tmp_path):
+    from quotegrid import catalog
+
+    n = spark.range(4_000)
+    lines = n.selectExpr(
+        "id % 40 + 1 l_suppkey", "date_add(date '2001-01-01', cast(id div 40 as int)) l_shipdate", "1000.0D + id l_extendedprice",
+        "'A' l_returnflag", "cast(id % 5 + 1 as int) l_linenumber")
+    tables = {
+        "lineitem": lines, "supplier": spark.range(1, 41).selectExpr("id s_suppkey", "concat('s', id) s_name", "0 s_nationkey"),
+        "nation": spark.sql("select 0 n_nationkey, 'N' n_name, 0 n_regionkey"), "region": spark.sql("select 0 r_regionkey, 'R' r_name")}
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert catalog._more_files(spark, str(tmp_path)) == 1
+    monkeypatch.setattr(catalog, "LINES_LANDED", 1_000)
+    more = catalog._more_files(spark, str(tmp_path))
+    assert more == 4
+    landing = catalog._split_landing(spark, str(tmp_path), more)
+    landed = spark.read.schema("date string, value string").json(landing).withColumn("file", F.col("_metadata.file_name"))
+    sizes = [r["count"] for r in landed.groupBy("file").count().collect()]
+    assert sum(sizes) == 4_000 and len(sizes) > 5 and max(sizes) < 4_000 / 5
+    assert landed.groupBy("date").agg(F.count_distinct("file").alias("files"), F.count("*").alias("n")).where("n > 5 and files = 1").count() == 0
+    kept = catalog.stream_ingest(spark, str(tmp_path))
+    assert kept.count() == catalog.feed_documents(spark, str(tmp_path)).count() == 4_000
