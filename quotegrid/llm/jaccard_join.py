@@ -22,7 +22,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quotegrid.llm.common import LOWER, Cache, bitmap, connected_components, in_bitmap, list_array, mixed, slices, windows, word_hash
@@ -34,8 +33,6 @@ BOX_POINTS = 32
 CELL_BITS = 1 << 26
 #: Parts in which leaves are counted, one after the other: the disk that their shuffle takes at a time.
 RANGES = 4
-#: Rows whose leaves are looked up at a time; a row may have several hundred.
-ROWS_AT_ONCE = 256
 DOC_BITS = 1 << 24
 
 
@@ -174,14 +171,11 @@ def leaf_rows(rows: DataFrame, only: np.ndarray) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(only)  # fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in (whole.slice(i, ROWS_AT_ONCE) for i in range(0, whole.num_rows, ROWS_AT_ONCE)):
-                at = batch.column("leaves").flatten().to_numpy()
-                keep = in_bitmap(shared.value, at)
-                node = np.repeat(batch.column("node").to_numpy(), pc.list_value_length(batch.column("leaves")).to_numpy())
-                yield pa.RecordBatch.from_arrays([pa.array(at[keep]), pa.array(node[keep])], names=["leaf", "node"])
-
-    return rows.select("node", "leaves").mapInArrow(run, "leaf long, node long")
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(shared.value, batch.column("leaf").to_numpy())))
+
+    # Lists are taken apart before they reach Python: a row may have several hundred leaves, and a batch counts rows.
+    return rows.select(F.explode("leaves").alias("leaf"), "node").mapInArrow(run, "leaf long, node long")
 
 
 def token_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:

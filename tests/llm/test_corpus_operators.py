@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quotegrid.llm import common, jaccard_join, packing, quality_classifier, quality_rules, sharding
@@ -293,3 +294,14 @@ def test_classifier_stage_knows_bad_texts_the_rules_took(spark, docs, corpus, tm
     survivors = docs.where(~docs.doc_id.isin(list(bad - {unlabelled})))  # no labelled bad text is left
     kept = {r["doc_id"] for r in corpus_pipeline.classifier(spark, survivors, str(tmp_path)).collect()}
     assert unlabelled not in kept and len(kept & set(range(260))) > 250
+
+
+def test_leaves_reach_python_one_by_one_not_as_lists(spark):
+    held = common.in_bitmap
+    table = common.bitmap(spark.range(0, 40_000, 2).select("id"), "id", 1 << 16)
+    wide = spark.range(200).select(F.col("id").alias("node"), F.sequence(F.col("id") * 200, F.col("id") * 200 + 199).alias("leaves"))
+    found = jaccard_join.leaf_rows(wide, table)
+    got = {(r["leaf"], r["node"]) for r in found.collect()}
+    assert got == {(i, i // 200) for i in range(40_000) if held(table, np.array([i]))[0]}
+    python = found._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow", 1)[1]
+    assert "Generate explode" in python  # 200 leaves of a row are 200 rows of a batch, whose rows are bounded
