@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from quotegrid.operators import forecast as fc
 from quotegrid.operators import market as mk
 from quotegrid.operators import panel as pn
 from quotegrid.operators import timeseries as ts
@@ -226,3 +227,32 @@ def test_no_empty_day_of_the_model_rows_becomes_a_row(spark):
     assert rows.count() == 3
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate explode(") == 1  # stations listed twice only
+
+
+def test_scale_counts_zeros_and_sorts_the_rest(spark):
+    """The median of the last 60 changes is that of all of them, though the zeros are not gathered."""
+    pdf = random_panel(11, stations=2, days=200, share=0.9)
+    out = with_regimes(to_spark(spark, pdf), "price")
+    gathered = [e for e in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "collect_list(" in e]
+    assert gathered and all("collect_list(_moved" in e for e in gathered)
+    got = out.toPandas().sort_values(["station_id", "date"])
+    for _, rows in got.groupby("station_id"):
+        change = pdf[pdf.station_id == rows.station_id.iloc[0]].price.diff().abs()
+        same(rows.robust_scale, change.rolling(60, min_periods=10).median().fillna(change.median()))
+
+
+def test_lowest_price_ahead_copies_no_array(spark):
+    df = spark.createDataFrame([([3.0, None, 1.0, 2.0],), ([None, None, None, None],), ([5.0],), (None,)], "ahead array<double>")
+    assert [tuple(r) for r in df.select(ts.lowest_ahead(2), ts.lowest_ahead(3), ts.lowest_ahead(1)).collect()] == [
+        (3.0, 1.0, 3.0), (None, None, None), (5.0, 5.0, 5.0), (None, None, None)]
+    frame = df.selectExpr("ahead", "date'2024-01-01' date", "'s' station_id", "1d price", "'stable' regime", "1 is_observed_price")
+    rows = fc.horizon_rows(frame, [2, 3])
+    assert "slice(" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.horizon_days, r.target) for r in rows.collect() if r.target) == [(2, 3.0), (2, 5.0), (3, 1.0), (3, 5.0)]
+
+
+def test_dates_of_a_key_are_gathered_once_per_day(spark):
+    rows = spark.range(1000).selectExpr("cast(id % 2 as int) k", "date_add(date'2024-01-01', cast(id % 7 as int)) date")
+    dates = fc.distinct_dates(rows.unionByName(spark.sql("select 0 k, cast(null as date) date")), ["k"])
+    assert "collect_set" not in dates._jdf.queryExecution().optimizedPlan().toString()
+    assert [r._dates for r in dates.orderBy("k").collect()] == [[DAY0 + dt.timedelta(days=i) for i in range(7)]] * 2
