@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from quotegrid import catalog
 from quotegrid.operators.boosting import BoostedForecaster, BoostingSettings
 from quotegrid.plans import publication as pub
 from quotegrid.plans import selection as sel
@@ -129,3 +130,26 @@ def test_runs_broken_off_are_not_read(spark, tmp_path):
     assert tb.read_results(spark, folder, "b").count() == 2
     with pytest.raises(ValueError):
         tb.read_results(spark, folder, "a", "3")
+
+
+def test_tables_of_a_run_are_worked_out_once(spark, base, monkeypatch):
+    """What several tables of the experiment store are made from is read from files by each of them."""
+    class Written(Exception):
+        pass
+
+    found = {}
+
+    def capture(tables, folder, run_id):
+        found.update(tables)
+        if len(tables) > 1:
+            raise Written
+
+    prices, stations = base[0], base[1]
+    for name, value in {"base": lambda spark, d: (prices, stations), "FUEL": A, "H": (3,), "COSTS": (0.001,),
+                        "ROLLING": dict(min_train=30, test_window=5, step=5, max_folds=2)}.items():
+        monkeypatch.setattr(catalog, name, value)
+    monkeypatch.setattr(catalog.tb, "write_results", capture)
+    with pytest.raises(Written):
+        catalog.experiment_store(spark, "")
+    for name in ("calibration", "rolling_folds", "rolling_summary"):
+        assert "Aggregate" not in found[name]._jdf.queryExecution().optimizedPlan().toString(), name
