@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quotegrid.llm.common import LOWER, Cache, bitmap, connected_components, in_bitmap, list_array, mixed, slices, windows, word_hash
+from quotegrid.llm.common import LOWER, Cache, bitmap, connected_components, in_bitmap, list_array, mixed, slices, windows, word_hash, worker_cache
 from quotegrid.session import WorkingTables, stage
 
 GROUPS = 128  # coordinates of a point
@@ -81,11 +81,6 @@ def bands(p: int, q: int) -> Bands:
     return Bands(p, q)
 
 
-@lru_cache(maxsize=1)
-def word_cache() -> Cache:
-    return Cache(word_hash)
-
-
 def shingles(body: bytes, k: int, cache: Cache) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the k-word shingles; fewer words are one shingle, no word none."""
     words = body.translate(LOWER).split()
@@ -133,7 +128,7 @@ def sets_of(docs: DataFrame, k: int, p: int, q: int) -> DataFrame:
     Equal sets of a slice have their leaves listed once. A row without a shingle is a class of its own and has none.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, of = word_cache(), bands(p, q)
+        cache, of = worker_cache(word_hash), bands(p, q)
         for part in slices(batches, "body"):
             cache.trim()
             n, node, at, seen = [], [], [], set()
@@ -184,7 +179,7 @@ def token_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(named.select(F.xxhash64("doc_id").alias("h")), "h", DOC_BITS))  # fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, table = word_cache(), shared.value
+        cache, table = worker_cache(word_hash), shared.value
         for batch in batches:
             maybe = in_bitmap(table, batch.column("h").to_numpy(zero_copy_only=False)) | batch.column("unnamed").to_numpy(zero_copy_only=False)
             for part in slices(iter([batch.filter(pa.array(maybe))]), "body"):

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quotegrid.llm.common import Cache, list_array, mixed, slices, word_hash
+from quotegrid.llm.common import Cache, list_array, mixed, slices, word_hash, worker_cache
 
 BITS = 18  # 2^18 indicators
 #: The model is fitted on at most so many labelled rows: those whose ids hash lowest.
@@ -42,11 +42,6 @@ def word_code(word: bytes) -> int:
     return word_hash(word) & ~0xFFF | shape
 
 
-@lru_cache(maxsize=1)
-def word_cache() -> Cache:
-    return Cache(word_code)
-
-
 @lru_cache(maxsize=1)
 def scratch() -> np.ndarray:
     return np.zeros(1 << BITS, dtype=np.int64)
@@ -121,7 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", key: str =
     rows = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body")).join(F.broadcast(chosen), "k")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_cache()
+        cache = worker_cache(word_code)
         for part in slices(batches, "body"):
             cache.trim()
             sets = [indicators(b, cache) for b in part.column("body").to_pylist()]
@@ -148,7 +143,7 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: s
     schema = StructType([StructField("row", docs.schema), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_cache()
+        cache = worker_cache(word_code)
         ratio, product, bias = shared.value
         for part in slices(batches, "body"):
             cache.trim()

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StructField, StructType
 
-from quotegrid.llm.common import Cache, slices, windows, word_hash
+from quotegrid.llm.common import Cache, slices, windows, word_hash, worker_cache
 from quotegrid.session import stage
 
 SPACES = b" \t\n\r\x0b\x0c"
@@ -47,11 +46,6 @@ STATS = StructType([
 ])
 
 
-@lru_cache(maxsize=1)
-def word_cache() -> Cache:
-    return Cache(word_hash)
-
-
 def repeated_words(hashes: np.ndarray, k: int = 5) -> int:
     """Words that lie in a k-word window found twice or more (64-bit hashes of words and windows)."""
     if len(hashes) <= k:
@@ -98,7 +92,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = StructType([StructField("row", docs.schema), StructField("stats", STATS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_cache()
+        cache = worker_cache(word_hash)
         kind = pa.struct([*((c.name, pa.int64()) for c in STATS.fields[:5]), ("base_failed", pa.bool_()), ("x", pa.list_(pa.float64()))])
         for part in slices(batches, "body"):
             cache.trim()

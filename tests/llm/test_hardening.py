@@ -1,9 +1,10 @@
 """Odd pages, small tables, ids that look like none, and a component that holds a third of all rows."""
 
+import gc
 import random
 import time
 
-from quotegrid.llm import jaccard_join, quality_rules, wrappers
+from quotegrid.llm import common, jaccard_join, quality_classifier, quality_rules, wrappers
 
 
 def words(rng, n):
@@ -56,3 +57,19 @@ def test_a_third_of_all_rows_in_one_component(spark):
     least = {x: min((d for (d, _), y in zip(rows, label) if x == y and d is not None), default=None) for x in set(label)}
     want = sorted(((d, len(sets[i]), least[label[i]]) for i, (d, _) in enumerate(rows)), key=str)
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == want
+
+
+def test_a_worker_keeps_one_word_cache_whatever_operators_it_has_run():
+    def alive():
+        gc.collect()
+        return sum(isinstance(x, common.Cache) for x in gc.get_objects())
+
+    before = alive()
+    text = words(random.Random(7), 50).encode()
+    for module, compute in ((quality_rules, common.word_hash), (quality_classifier, quality_classifier.word_code), (jaccard_join, common.word_hash)):
+        cache = module.worker_cache(compute)
+        for word in text.split():
+            assert cache[word] == compute(word)
+    assert alive() <= before + 1
+    assert quality_rules.worker_cache(common.word_hash) is cache
+    assert common.CACHE_ENTRIES <= 150_000
