@@ -125,11 +125,17 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", key: str =
     got = rows.select("k", F.col("y").cast("int").alias("y"), "body").mapInArrow(run, "k long, y int, idx array<int>").toArrow()
     got = got.combine_chunks().sort_by("k")
     y = np.array(got["y"].to_pylist(), dtype=float) * 2 - 1
-    sets = [np.asarray(x.values, dtype=np.int64) for chunk in [got["idx"]] for x in chunk]
+    # All sets lie in two long arrays, which are given back whole: thousands of short ones would stay with the driver's process.
+    lists = got["idx"].combine_chunks()
+    ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).astype(np.int64)
+    sets = [flat[a:b] for a, b in zip(ends, ends[1:])]
     if not len(y) or abs(y.sum()) == len(y):
         return np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0
     ratio = log_count_ratios(sets, y)
-    values = [ratio[s] / max(np.linalg.norm(ratio[s]), 1e-9) for s in sets]
+    weighed = ratio[flat]
+    values = [weighed[a:b] for a, b in zip(ends, ends[1:])]
+    for v in values:
+        v /= max(np.linalg.norm(v), 1e-9)
     share = np.array([(y < 0).mean(), (y > 0).mean()])
     cost = COST * 0.5 / share[(y > 0).astype(int)]  # both classes weigh the same
     w, bias = dual_descent(sets, values, y, cost, epochs)

@@ -4,6 +4,8 @@ import gc
 import random
 import time
 
+import numpy as np
+
 from quotegrid.llm import common, jaccard_join, quality_classifier, quality_rules, wrappers
 
 
@@ -73,3 +75,17 @@ def test_a_worker_keeps_one_word_cache_whatever_operators_it_has_run():
     assert alive() <= before + 1
     assert quality_rules.worker_cache(common.word_hash) is cache
     assert common.CACHE_ENTRIES <= 150_000
+
+
+def test_the_fit_holds_its_sets_in_one_array_each(spark, monkeypatch):
+    rows = [(i, f"{'good' if i % 2 else 'bad'} text number {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    seen, descent = [], quality_classifier.dual_descent
+    monkeypatch.setattr(quality_classifier, "dual_descent", lambda sets, values, *rest: seen.append((sets, values)) or descent(sets, values, *rest))
+    ratio, _, _ = quality_classifier.fit(docs, labels)
+    sets, values = seen[0]
+    assert len(sets) > 10
+    for s, v in zip(sets, values):
+        assert s.base is sets[0].base and v.base is values[0].base
+        assert (v == ratio[s] / np.linalg.norm(ratio[s])).all()
