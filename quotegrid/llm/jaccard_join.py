@@ -11,6 +11,10 @@ index over the points has two levels:
 * Boxes in a leaf. Points of a leaf are packed in boxes; box pairs, then point pairs, are dropped by the summed minima of
   their upper corners. Large leaves are cut into chunks, and pairs of chunks are the units of work.
 
+Between point and set lies a sketch: the parities of the counts of many more groups, as bits. Each odd sum of two parities is a
+token that only one of the two sets has, so they bound how far the sets are apart, and pairs that merely resemble each other, or share a leaf by
+one token, are dropped before any set moves.
+
 What survives is verified on the sets. Documents of equal sets are one class throughout, and classes already
 in one component are not paired again, so a group of near copies costs a star, not all its pairs.
 """
@@ -33,6 +37,10 @@ BOX_POINTS = 32
 CELL_BITS = 1 << 26
 #: Parts in which leaves are counted, one after the other: the disk that their shuffle takes at a time.
 RANGES = 4
+#: The same for the units of work, whose points and sketches are shuffled.
+UNIT_RANGES = 2
+#: Pairs whose sketches are compared at a time.
+SKETCHED = 1 << 14
 DOC_BITS = 1 << 24
 
 
@@ -118,6 +126,38 @@ def point(tokens: np.ndarray) -> bytes:
     return np.bincount((mixed(tokens) >> np.uint64(57)).astype(np.int64), minlength=GROUPS).astype("<i4").tobytes()
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parities of the counts of token groups, a bit each: a power of two of groups, more for larger sets.
+
+    There are twice as many groups as tokens, or three quarters as many where that is over 2,048 (0.1 to 0.2 bytes a token): enough to
+    tell sets somewhat below the least similarity from linked ones, of large sets unrelated ones.
+    """
+    n = len(tokens)
+    bits = 1 << (max(256, min(2 * n, max(2048, n * 3 // 4))) - 1).bit_length()
+    odd = np.bincount((mixed(tokens * np.uint64(0x9FB21C651E98DF25)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_apart(sketches: list[bytes], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For the index pairs, how many tokens at least are in one set only. Of two sizes the larger sketch is folded to the smaller."""
+    out, small = np.zeros(len(x), dtype=np.int64), np.minimum(*(np.array([len(s) for s in sketches], dtype=np.int64)[i] for i in (x, y)))
+    for size in np.unique(small):
+        at = np.flatnonzero(small == size)
+        rows, place = np.unique(np.concatenate([x[at], y[at]]), return_inverse=True)
+        table = np.stack([np.bitwise_xor.reduce(np.frombuffer(sketches[r], dtype="<u8").reshape(-1, size // 8), axis=0) for r in rows])
+        for a in range(0, len(at), SKETCHED):
+            one, other = place[a:min(a + SKETCHED, len(at))], place[len(at) + a:len(at) + a + SKETCHED]
+            out[at[a:a + SKETCHED]] = np.bitwise_count(table[one] ^ table[other]).sum(axis=1)
+    return out
+
+
+def may_link(sketches: list[bytes], n: np.ndarray, x: np.ndarray, y: np.ndarray, p: int, q: int) -> np.ndarray:
+    """Which index pairs a link is possible for, by sizes and sketches."""
+    total = n[x] + n[y]
+    fits = p * np.maximum(n[x], n[y]) <= q * np.minimum(n[x], n[y])
+    return fits & (least_apart(sketches, x, y) * (p + q) <= (q - p) * total)
+
+
 def _bodies(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select(*more, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"))
 
@@ -174,7 +214,7 @@ def leaf_rows(rows: DataFrame, only: np.ndarray) -> DataFrame:
 
 
 def token_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
-    """node, n, tokens, point of the classes in ``wanted`` (node, doc_id: one document of each), each once."""
+    """node, n, tokens, point, sketch of the classes in ``wanted`` (node, doc_id: one document of each), each once."""
     named = wanted.where("doc_id is not null")
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(named.select(F.xxhash64("doc_id").alias("h")), "h", DOC_BITS))  # fixed size
 
@@ -188,19 +228,29 @@ def token_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([class_of(t) for t in found], type=pa.int64()), pa.array([len(t) for t in found], type=pa.int64()),
-                         list_array([t.view(np.int64) for t in found], pa.int64()), pa.array([point(t) for t in found], type=pa.binary())],
-                        names=["node", "n", "tokens", "point"])
+                         list_array([t.view(np.int64) for t in found], pa.int64()), pa.array([point(t) for t in found], type=pa.binary()),
+                         pa.array([sketch(t) for t in found], type=pa.binary())],
+                        names=["node", "n", "tokens", "point", "sketch"])
 
     rows = _bodies(docs, F.xxhash64("doc_id").alias("h"), F.col("doc_id").isNull().alias("unnamed"))
-    sets = rows.mapInArrow(run, "node long, n long, tokens array<long>, point binary")
+    sets = rows.mapInArrow(run, "node long, n long, tokens array<long>, point binary, sketch binary")
     return sets.join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, compared token by token."""
-    size = sets.select("node", "n")
-    near = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").where(
-        F.lit(p) * F.greatest("na", "nb") <= F.lit(q) * F.least("na", "nb"))
+def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int, steps: WorkingTables) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough: by sizes and sketches first, those left token by token."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(iter([whole]), "sb"):
+                m = batch.num_rows
+                sketches = batch.column("sa").to_pylist() + batch.column("sb").to_pylist()
+                n = np.concatenate([batch.column(c).to_numpy() for c in ("na", "nb")])
+                keep = may_link(sketches, n, np.arange(m), np.arange(m, 2 * m), p, q)
+                yield batch.select(["a", "b", "na", "nb"]).filter(pa.array(keep))
+
+    short = sets.select("node", "n", "sketch")
+    near = steps.keep(pairs.join(short.toDF("a", "na", "sa"), "a").join(short.toDF("b", "nb", "sb"), "b").mapInArrow(
+        run, "a long, b long, na long, nb long"), "near")
     # The sets are bucketed by node: those of a do not move to meet their pairs; of b only the few that are wanted do, so
     # that both sides of the last join are shuffled and a set that many pairs share can be split.
     others = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")).join(near.select("b").distinct(), "b", "left_semi")
@@ -247,10 +297,23 @@ def surviving(points: np.ndarray, n: np.ndarray, comp: np.ndarray, side: np.ndar
     return np.concatenate(left), np.concatenate(right)
 
 
-def leaf_pairs(members: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+def leaf_pairs(members: DataFrame, sets: DataFrame, p: int, q: int, steps: WorkingTables) -> DataFrame:
     """Pairs (a, b) of classes of different components that share a leaf and survive the bounds.
 
-    ``members`` has leaf, node, comp. A leaf of many points is cut into chunks of about ``CHUNK_POINTS``; each
+    ``members`` has leaf, node, comp. Leaves are worked off by ranges of their hashes, so that the points and sketches of one range at a
+    time are on the disks.
+    """
+    found = [steps.keep(_pairs_of_leaves(members.where(F.pmod("leaf", F.lit(UNIT_RANGES)) == i), sets, p, q), "part") for i in range(UNIT_RANGES)]
+    out = found[0]
+    for part in found[1:]:
+        out = out.union(part)
+    return out.distinct()
+
+
+def _pairs_of_leaves(members: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """The pairs of some leaves.
+
+    A leaf of many points is cut into chunks of about ``CHUNK_POINTS``; each
     pair of chunks is one unit, so no unit grows with the leaf.
     """
     info = members.groupBy("leaf").agg(F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
@@ -258,7 +321,7 @@ def leaf_pairs(members: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame
     rows = members.join(info, "leaf").withColumn("c", F.pmod(F.xxhash64("node", "leaf"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.select("node", "comp", "leaf", F.least("c", "j").alias("c1"), F.greatest("c", "j").alias("c2"), (F.col("c") > F.col("j")).alias("second"))
-    rows = rows.join(sets.select("node", "n", "point"), "node")
+    rows = rows.join(sets.select("node", "n", "point", "sketch"), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def unit(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -266,6 +329,8 @@ def leaf_pairs(members: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame
             points = np.frombuffer(b"".join(rows.column("point").to_pylist()), dtype="<i4").reshape(-1, GROUPS)
             node = get("node")
             x, y = surviving(points, get("n"), get("comp"), get("second").astype(np.int8), p, q)
+            near = may_link(rows.column("sketch").to_pylist(), get("n"), x, y, p, q)
+            x, y = x[near], y[near]
             return np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
 
         rest = None
@@ -313,11 +378,11 @@ def components(docs: DataFrame, k: int = 3, p: int = 90, q: int = 100) -> DataFr
     wanted = members.select("node").distinct().join(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node")
     wanted = steps.keep(wanted, "wanted")
     sets = steps.keep_bucketed(token_sets(docs, k, wanted), "tokens", "node")
-    links = steps.keep(verified(star_pairs(members), sets, p, q), "links")
+    links = steps.keep(verified(star_pairs(members), sets, p, q, steps), "links")
     first = connected_components(links)
     now = members.join(first, "node", "left").select("leaf", "node", F.coalesce("label", "node").alias("comp"))
-    pairs = steps.keep(leaf_pairs(now, sets, p, q), "pairs")
-    more = steps.keep(verified(pairs, sets, p, q), "more")
+    pairs = steps.keep(leaf_pairs(now, sets, p, q, steps), "pairs")
+    more = steps.keep(verified(pairs, sets, p, q, steps), "more")
     steps.drop(pairs, members)
     # Classes by the smallest id of their rows: the label that components end with names them, and no row is gathered by label.
     name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node")
